@@ -1,0 +1,192 @@
+"""Block framing against one plain pass over the bytes, without Spark."""
+
+import struct
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from sluiceway.functions import blocks
+from sluiceway.functions.wire import advance
+
+
+def pack(value) -> bytes:
+    """A second, independent MessagePack writer for the tests."""
+    if value is None:
+        return b"\xc0"
+    if value is True or value is False:
+        return b"\xc3" if value else b"\xc2"
+    if isinstance(value, int):
+        if 0 <= value < 128:
+            return bytes([value])
+        return b"\xd3" + struct.pack(">q", value) if value < 1 << 63 else b"\xcf" + struct.pack(">Q", value)
+    if isinstance(value, float):
+        return b"\xcb" + struct.pack(">d", value)
+    if isinstance(value, str):
+        raw = value.encode()
+        if len(raw) < 32:
+            return bytes([0xA0 + len(raw)]) + raw
+        if len(raw) < 256:
+            return b"\xd9" + bytes([len(raw)]) + raw
+        return b"\xda" + struct.pack(">H", len(raw)) + raw if len(raw) < 65536 else b"\xdb" + struct.pack(">I", len(raw)) + raw
+    if isinstance(value, bytes):
+        return b"\xc4" + bytes([len(value)]) + value if len(value) < 256 else b"\xc5" + struct.pack(">H", len(value)) + value
+    if isinstance(value, list):
+        head = bytes([0x90 + len(value)]) if len(value) < 16 else b"\xdc" + struct.pack(">H", len(value))
+        return head + b"".join(map(pack, value))
+    if isinstance(value, dict):
+        head = bytes([0x80 + len(value)]) if len(value) < 16 else b"\xde" + struct.pack(">H", len(value))
+        return head + b"".join(pack(k) + pack(v) for k, v in value.items())
+    if isinstance(value, tuple):    # (ext type, data)
+        kind, data = value
+        return b"\xc7" + bytes([len(data)]) + struct.pack(">b", kind) + data
+    raise TypeError(value)
+
+
+def segment_rows(conn, data, cuts, block_segments):
+    bounds = [0, *sorted(cuts), len(data)]
+    return [
+        dict(conn_id=conn, remote_addr="a", block=i // block_segments, seq=i, recv_us=1000 + i,
+             payload=data[lo:hi], ctl_a=None, ctl_b=None)
+        for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))]
+
+
+SEGMENTS = pa.schema([
+    ("conn_id", pa.int64()), ("remote_addr", pa.string()), ("block", pa.int64()),
+    ("seq", pa.int64()), ("recv_us", pa.int64()), ("payload", pa.binary()),
+    ("ctl_a", pa.int64()), ("ctl_b", pa.int64())])
+
+
+def batches(rows, schema, size=7):
+    for i in range(0, len(rows), size):
+        yield pa.RecordBatch.from_pylist(rows[i:i + size], schema=schema)
+
+
+def frames_of(rows, block_segments, limit=None):
+    """What the Spark job does, with lists in place of shuffles."""
+    order = lambda r: (r["conn_id"], r["block"], r["seq"])
+    run = lambda body, data, schema: [
+        r for b in body(batches(data, schema)) for r in b.to_pylist()]
+    late = {r["conn_id"] for r in rows if r["seq"] >= block_segments}
+    if not late:
+        return run(blocks.frame_blocks(block_segments, limit), sorted(rows, key=order), SEGMENTS)
+    many = [r for r in rows if r["conn_id"] in late]
+    key = lambda r: (r["conn_id"], r["block"])
+    chain = lambda want: run(
+        blocks.chain_blocks(block_segments, limit, want), sorted(summaries, key=key), blocks._SUMMARY)
+    scan = blocks.summarise_blocks(block_segments, limit)
+    summaries = run(scan, sorted(many, key=order), SEGMENTS)
+    turns = 0
+    while wrong := chain("rescan"):
+        turns += 1
+        assert turns <= len(rows) + 1, "no progress"
+        control = [dict(conn_id=w["conn_id"], remote_addr=None, block=w["block"], seq=-1,
+                        recv_us=None, payload=w["part"], ctl_a=w["need"], ctl_b=w["skip"])
+                   for w in wrong]
+        keys = {key(w) for w in wrong}
+        again = [r for r in many if key(r) in keys]
+        summaries = [s for s in summaries if key(s) not in keys] + run(
+            scan, sorted(again + control, key=order), SEGMENTS)
+    control = [dict(conn_id=p["conn_id"], remote_addr=None, block=p["block"], seq=-1,
+                    recv_us=None, payload=None, ctl_a=p["start"], ctl_b=p["base"])
+               for p in chain("plan")]
+    return run(blocks.frame_blocks(block_segments, limit),
+               sorted(rows + control, key=order), SEGMENTS) + chain("frames")
+
+
+def result(frames):
+    return sorted(((f["conn_id"], f["frame_no"], f["error_class"] or "", f["frame"],
+                    f["size"], f["recv_ts"], f["detail"], f["remote_addr"]) for f in frames),
+                  key=lambda r: r[:3])
+
+
+scalars = st.one_of(
+    st.none(), st.booleans(), st.integers(-(2 ** 63), 2 ** 64 - 1), st.floats(),
+    st.text(max_size=40), st.binary(max_size=300), st.tuples(st.integers(-128, 127), st.binary(max_size=20)))
+values = st.recursive(
+    scalars, lambda v: st.one_of(
+        st.lists(v, max_size=20), st.dictionaries(st.text(max_size=5), v, max_size=5)), max_leaves=30)
+request = st.builds(lambda t, s, r: [t, s, r], st.text(max_size=8), st.integers(0, 2 ** 40),
+                    st.dictionaries(st.text(max_size=5), values, max_size=3))
+
+
+@given(st.lists(st.one_of(values, request), max_size=25), st.data())
+@settings(max_examples=300, deadline=None)
+def test_every_value_once_in_order_for_any_cut_and_block_size(items, data):
+    parts = [pack(v) for v in items]
+    stream = b"".join(parts)
+    n = len(stream)
+    cuts = data.draw(st.lists(st.integers(0, n), max_size=30))
+    rows = segment_rows(5, stream, cuts, 10 ** 6)
+    whole = frames_of(rows, 10 ** 6)
+    assert [f["frame"] for f in whole] == parts
+    assert [f["frame_no"] for f in whole] == list(range(len(parts)))
+    size = data.draw(st.integers(1, 6))
+    split = frames_of(segment_rows(5, stream, cuts, size), size)
+    assert result(split) == result(whole)
+
+
+@given(st.lists(st.one_of(values, request), min_size=1, max_size=15), st.data())
+@settings(max_examples=400, deadline=None)
+def test_faults_do_not_depend_on_the_block_size(items, data):
+    stream = b"".join(pack(v) for v in items)
+    kind = data.draw(st.sampled_from(["cut", "break", "gap", "limit", "noise", "long"]))
+    n = len(stream)
+    at = data.draw(st.integers(0, n))
+    limit = None
+    if kind == "cut":
+        stream = stream[:at]
+    elif kind == "break":
+        stream = stream[:at] + b"\xc1" + stream[at:]
+    elif kind == "long":
+        stream = stream[:at] + b"\xdb\x80\x00\x00\x00" + stream[at:]
+    elif kind == "noise":
+        stream = stream[:at] + data.draw(st.binary(max_size=20)) + stream[at:]
+    if kind in ("limit", "noise", "break"):
+        limit = data.draw(st.integers(1, 60))
+    cuts = data.draw(st.lists(st.integers(0, len(stream)), max_size=25))
+    rows = segment_rows(1, stream, cuts, 10 ** 6)
+    if kind == "gap":
+        rows.pop(data.draw(st.integers(0, len(rows) - 1)))
+    want = result(frames_of(rows, 10 ** 6, limit))
+    size = data.draw(st.integers(1, 5))
+    for r in rows:
+        r["block"] = r["seq"] // size
+    assert result(frames_of(rows, size, limit)) == want
+
+
+def test_repeated_segments_are_read_once():
+    rows = segment_rows(1, pack(["t", 1, {}]) * 4, [3, 9], 10 ** 6)
+    assert result(frames_of(rows + rows, 10 ** 6)) == result(frames_of(rows, 10 ** 6))
+
+
+def test_limit_boundary():
+    parts = [pack("x" * n) for n in (1000, 1001, 1021, 1022)]
+    assert [len(p) for p in parts] == [1003, 1004, 1024, 1025]
+    for size in (1, 2, 100):
+        rows = segment_rows(1, b"".join(parts + parts[:1]), list(range(100, 4000, 100)), size)
+        got = result(frames_of(rows, size, 1024))
+        assert [(g[1], g[2]) for g in got] == [(0, ""), (1, ""), (2, ""), (3, "CHUNK_TOO_LARGE")]
+
+
+def test_good_guesses_need_no_second_scan(monkeypatch):
+    calls = []
+    original = blocks.guess_boundary
+    monkeypatch.setattr(blocks, "guess_boundary", lambda b: calls.append(1) or original(b))
+    rng = np.random.default_rng(1)
+    stream = b"".join(
+        pack([f"tag.{i % 7}", [[1700000000 + i, {"k": i, "s": "x" * int(rng.integers(0, 90)), "l": ["a", [1]]}]] * 5])
+        for i in range(400))
+    rows = segment_rows(1, stream, list(range(700, len(stream), 700)), 8)
+    key = lambda r: (r["conn_id"], r["block"], r["seq"])
+    summaries = [r for b in blocks.summarise_blocks(8, None)(batches(sorted(rows, key=key), SEGMENTS))
+                 for r in b.to_pylist()]
+    assert len(calls) == len(summaries) - 1 > 10
+    wrong = list(blocks.chain_blocks(8, None, "rescan")(batches(summaries, blocks._SUMMARY)))
+    assert not wrong
+
+
+@pytest.mark.parametrize("raw,end", [(b"\x92\x01\xa1x", 4), (b"\x81\xa1a\xcd\x01\x02", 6), (b"\xc7\x02\x05ab", 5)])
+def test_advance(raw, end):
+    assert advance(raw + b"\x00", 0, 1) == (end, 0)
