@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +34,19 @@ def local_session(cores: int | str = "*", partitions: int = 8, **settings) -> Sp
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, as `--py-files` would; does nothing the second time."""
+    if getattr(spark.sparkContext, "_sluiceway_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="sluiceway-")) / "sluiceway.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(root.rglob("*.py")):
+            bundle.write(source, Path(root.name) / source.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    spark.sparkContext._sluiceway_shipped = True
+
+
 _local_folder: str | None = None
 
 
