@@ -18,18 +18,21 @@ def hex_bytes(text: str) -> Column:
     return F.unhex(F.lit(text))
 
 
+def _hex(number: Column, width: int) -> Column:
+    return F.lpad(F.hex(number.cast("bigint")), 2 * width, "0")
+
+
 def _big_endian(number: Column, width: int) -> Column:
-    return F.unhex(F.lpad(F.hex(number.cast("bigint")), 2 * width, "0"))
+    return F.unhex(_hex(number, width))
 
 
 def _sized(size: Column, small, *steps) -> Column:
     """Header of a sized value: the first step whose limit the size stays below."""
     limit, base = small
-    header = F.when(size < limit, _big_endian(size + base, 1)) if limit else None
+    header = F.when(size < limit, F.hex((size + base).cast("bigint"))) if limit else F
     for limit, code, width in steps:
-        made = F.concat(hex_bytes(code), _big_endian(size, width))
-        header = F.when(size < limit, made) if header is None else header.when(size < limit, made)
-    return header
+        header = header.when(size < limit, F.concat(F.lit(code), _hex(size, width)))
+    return F.unhex(header)
 
 
 # Fixed values below: first bytes and size limits of the MessagePack format.
