@@ -124,12 +124,16 @@ class Scan:
     part: bytes = b""
 
 
-def scan_values(buf: bytes, start: int, limit: int | None) -> Scan:
-    """Boundaries of the values in ``buf[start:]`` and the state of the unfinished one."""
+def scan_values(buf: bytes, start: int, limit: int | None, resume=None) -> Scan:
+    """Boundaries of the values in ``buf[start:]`` and the state of the unfinished one.
+
+    ``resume`` is the ``(pos, need)`` an earlier pass over the first value got to.
+    """
     end, pos, bounds = len(buf), start, [start]
+    at, need = resume or (start, 1)
     while pos < end:
         try:
-            reached, need = advance(buf, pos, 1)
+            reached, need = advance(buf, at, need)
         except Corrupt as bad:
             if limit is not None and bad.pos - pos >= limit:
                 return Scan(bounds, _too_large(limit, pos))
@@ -141,7 +145,8 @@ def scan_values(buf: bytes, start: int, limit: int | None) -> Scan:
         if not done:
             return Scan(bounds, None, need, max(reached - end, 0), buf[reached:])
         bounds.append(reached)
-        pos = reached
+        pos = at = reached
+        need = 1
     return Scan(bounds, None)
 
 

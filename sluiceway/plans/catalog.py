@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
-from sluiceway.plans import admission_queries, stream_queries, wire_queries
+from sluiceway.plans import admission_queries, stream_queries, streaming_queries, wire_queries
 
-QUERIES = {**wire_queries.QUERIES, **stream_queries.QUERIES, **admission_queries.QUERIES}
+QUERIES = {
+    **wire_queries.QUERIES,
+    **stream_queries.QUERIES,
+    **admission_queries.QUERIES,
+    **streaming_queries.QUERIES,
+}

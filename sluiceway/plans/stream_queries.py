@@ -24,7 +24,11 @@ def entry_struct(sec: str, nanos: str, record):
 
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a request of one entry."""
-    events = table(spark, sf_dir, "events").select(
+    return as_event_requests(table(spark, sf_dir, "events"))
+
+
+def as_event_requests(events: DataFrame) -> DataFrame:
+    events = events.select(
         "event_id", "user_id", "event_type", "props", epoch_micros("ts").alias("us"))
     return events.select(
         (F.col("user_id") % 8).alias("conn_id"), F.lit(None).cast("string").alias("remote_addr"),
@@ -36,7 +40,11 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a request with its key as chunk; every 7th has no chunk."""
-    orders = table(spark, sf_dir, "orders").select(
+    return as_order_requests(table(spark, sf_dir, "orders"))
+
+
+def as_order_requests(orders: DataFrame) -> DataFrame:
+    orders = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", epoch_micros("o_orderdate").alias("us"))
     return orders.select(
         F.col("o_custkey").alias("conn_id"), F.lit(None).cast("string").alias("remote_addr"),

@@ -116,15 +116,19 @@ def _damaged_frame() -> Column:
         .when(last, F.concat(damaged, P.hex_bytes("92A1"))).otherwise(damaged))
 
 
+def damaged_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_frame_each(spark, sf_dir, _damaged_frame())
+
+
 def rejects_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = decode(reassemble_frames(_one_frame_each(spark, sf_dir, _damaged_frame())))
+    decoded = decode(reassemble_frames(damaged_segments(spark, sf_dir)))
     return decoded.groupBy(
         "conn_id", "kind", F.coalesce("error_class", F.lit("")).alias("error_class")
     ).agg(F.count("*").alias("frames"), F.min("frame_no").alias("first_frame"))
 
 
-REJECTS_SQL = f"""
-WITH e AS (
+DAMAGED_SQL = f"""
+e AS (
   SELECT event_id // {CONNECTION} AS conn_id, event_id % {CONNECTION} AS n, event_id % 12 AS c
   FROM events),
 alive AS (SELECT * FROM e WHERE NOT (conn_id % 4 = 1 AND n >= 1500)),
@@ -138,7 +142,10 @@ f AS (
   SELECT conn_id, 1500, 'reject', 'CORRUPT_FRAME' FROM e WHERE conn_id % 4 = 1 AND n = 1500
   UNION ALL
   SELECT conn_id, {CONNECTION}, 'reject', 'INCOMPLETE' FROM e
-  WHERE conn_id % 4 = 2 AND n = {CONNECTION - 1})
+  WHERE conn_id % 4 = 2 AND n = {CONNECTION - 1})"""
+
+REJECTS_SQL = f"""
+WITH {DAMAGED_SQL}
 SELECT conn_id, kind, error_class, count(*) AS frames, min(frame_no) AS first_frame
 FROM f GROUP BY ALL"""
 
