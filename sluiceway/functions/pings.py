@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 
-from sluiceway.functions.wire import IllFormed, unpack
+from sluiceway.functions.wire import IllFormed, container, scalar
 
 _FIELDS = ["client_hostname", "key_salt", "key_digest", "username", "password_digest"]
 PARSED_DDL = (
@@ -17,7 +17,12 @@ def parse_pings(batches):
     for batch in batches:
         ok, fields = [], []
         for frame in batch.column("frame").to_pylist():
-            rest = unpack(frame, 0)[0][1:]
+            _, items, pos = container(frame, 0)
+            values = []
+            for _ in range(items):
+                value, pos = scalar(frame, pos)
+                values.append(value)
+            rest = values[1:]
             good = all(isinstance(v, str) and not isinstance(v, IllFormed) for v in rest)
             ok.append(good)
             fields.append(rest if good else [None] * len(_FIELDS))

@@ -55,9 +55,14 @@ def _with_block(segments: DataFrame, block_segments: int) -> DataFrame:
 
 
 def _per_block(rows: DataFrame, body, ddl: str) -> DataFrame:
-    """Run ``body`` with all rows of a block in one task, control row first, by `seq`."""
+    """Run ``body`` with all rows of a block in one task, control row first, by `seq`.
+
+    The number of tasks is the session's `spark.sql.shuffle.partitions` as it stands:
+    adaptive merging goes by compressed bytes, and these tasks are bound by the cores.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.repartition("conn_id", "block")
+        rows.repartition(tasks, "conn_id", "block")
         .sortWithinPartitions("conn_id", "block", "seq")
         .mapInArrow(body, ddl)
     )

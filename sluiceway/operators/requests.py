@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluiceway import schemas
 from sluiceway.functions.requests import decode_batches
-from sluiceway.functions.times import resolved_time
 
 HEARTBEAT = b"\xc0"     # Fixed value: nil
 
@@ -22,15 +21,7 @@ def decode(frames: DataFrame) -> DataFrame:
         frames = frames.withColumns({
             "error_class": F.lit(None).cast("string"), "detail": F.lit(None).cast("string")})
     columns = [c.split()[0] for c in schemas.FRAMES.split(", ")]
-    raw = frames.select(*columns).mapInArrow(decode_batches, schemas.RAW_DECODED)
-    entries = F.transform("entries", lambda e: F.struct(
-        resolved_time(e["time_sec"], e["time_nanos"], F.col("recv_ts")).alias("when"),
-        e["record"].alias("record"), e["record_raw"].alias("record_raw")))
-    flat = F.transform(entries, lambda e: F.struct(
-        e["when"]["time_sec"].alias("time_sec"), e["when"]["time_nanos"].alias("time_nanos"),
-        e["when"]["event_ts"].alias("event_ts"), e["record"].alias("record"),
-        e["record_raw"].alias("record_raw")))
-    return raw.withColumn("entries", flat)
+    return frames.select(*columns).mapInArrow(decode_batches, schemas.DECODED)
 
 
 def requests_of(decoded: DataFrame) -> DataFrame:

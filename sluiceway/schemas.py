@@ -10,18 +10,15 @@ FRAMES = (
     "size BIGINT, frame BINARY, error_class STRING, detail STRING"
 )
 
-RAW_ENTRY = "time_sec BIGINT, time_nanos INT, record STRING, record_raw BINARY"
 ENTRY = (
     "time_sec BIGINT, time_nanos INT, event_ts TIMESTAMP, record STRING, record_raw BINARY"
 )
 
-_DECODED = (
+DECODED = (
     "conn_id BIGINT, remote_addr STRING, frame_no BIGINT, recv_ts TIMESTAMP, kind STRING, "
-    "mode STRING, tag STRING, entries ARRAY<STRUCT<{entry}>>, chunk STRING, "
+    f"mode STRING, tag STRING, entries ARRAY<STRUCT<{ENTRY}>>, chunk STRING, "
     "compressed STRING, error_class STRING, detail STRING, frame BINARY"
 )
-RAW_DECODED = _DECODED.format(entry=RAW_ENTRY)
-DECODED = _DECODED.format(entry=ENTRY)
 
 REQUESTS = (
     "conn_id BIGINT, remote_addr STRING, frame_no BIGINT, recv_ts TIMESTAMP, mode STRING, "
