@@ -14,20 +14,46 @@ def group_streams(
     order: str = "pos",
     fields: tuple[str, ...] = ENTRY_FIELDS,
     entries_per_stream: int = 10_000,
+    unique_order: bool = True,
 ) -> DataFrame:
     """Rebuild event streams from single events, entries in ``order``.
 
-    ``keys`` must name one stream, that is, ``order`` must be unique within them. A
-    stream longer than ``entries_per_stream`` comes as several rows numbered by `part`,
-    so no task ever holds more than that many entries of one stream.
+    A stream longer than ``entries_per_stream`` comes as several rows, to be read by
+    `part`, so that no task holds more entries of one stream than that. The bound needs
+    ``order`` to be unique within ``keys``, as it is for the entries of a request. With
+    ``unique_order=False`` parts that are crowded all the same are found by counting and
+    split further, to be read by `part`, then `piece`.
     """
-    part = F.expr(f"`{order}` div {int(entries_per_stream)}")
-    return (
-        events.withColumn("part", part)
-        .groupBy(*keys, "part")
-        .agg(F.array_sort(F.collect_list(F.struct(order, *fields))).alias("sorted"))
-        .select(*keys, "part", F.transform(
-            "sorted", lambda e: F.struct(*[e[f].alias(f) for f in fields])).alias("entries")))
+    n = int(entries_per_stream)
+    placed = events.select(
+        *keys, order, *[f for f in fields if f != order], F.expr(f"`{order}` div {n}").alias("part"))
+    entry = F.struct(order, *[f for f in fields if f != order])
+    pick = lambda e: F.struct(*[e[f].alias(f) for f in fields])
+    whole = lambda df: (
+        df.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(entry)).alias("sorted"))
+        .select(*keys, "part", F.transform("sorted", pick).alias("entries")))
+    if unique_order:
+        return whole(placed)
+
+    place = [*keys, "part"]
+    crowded = placed.groupBy(*place).count().where(F.col("count") > n)
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in place]
+    calm = whole(placed.alias("p").join(crowded.alias("c"), same, "left_anti")).select(
+        *place, F.lit(0).cast("bigint").alias("piece"), "entries")
+    # Equal entries are counted, not copied, then dealt out in lots of at most n; the others
+    # of one position are spread by hash, which is free to order them.
+    lots = (
+        placed.groupBy(*placed.columns).agg(F.count("*").alias("copies")).alias("p")
+        .join(crowded.alias("c"), same)
+        .select("p.*", F.pmod(F.xxhash64(*fields), F.ceil(F.col("count") / n)).alias("spread"),
+                F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {n}"))).alias("lot"))
+        .withColumn("copies", F.least(F.lit(n), F.col("copies") - F.col("lot") * n).cast("int")))
+    pieces = lots.groupBy(*place, order, "spread", "lot").agg(
+        F.array_sort(F.collect_list(F.struct(entry.alias("e"), "copies"))).alias("sorted"))
+    offset = F.col(order) - F.col("part") * n
+    return calm.unionByName(pieces.select(
+        *place, ((offset * 2 ** 20 + F.col("spread")) * 2 ** 20 + F.col("lot")).cast("bigint").alias("piece"),
+        F.flatten(F.transform("sorted", lambda s: F.array_repeat(pick(s["e"]), s["copies"]))).alias("entries")))
 
 
 def order_by_tag(df: DataFrame, java_order: bool = False, then: tuple[str, ...] | None = None) -> DataFrame:

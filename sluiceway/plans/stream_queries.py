@@ -125,12 +125,12 @@ def order_streams(spark, sf_dir):
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("pos"),
         "l_partkey", epoch_micros("l_shipdate").alias("us"),
         F.to_json(F.struct("l_quantity", "l_suppkey")).alias("record"))
-    # Line numbers repeat within an order of the test tables: a second order key settles ties.
     events = lines.join(orders, "o_orderkey").select(
         "o_orderkey", "tag", "pos", F.expr("us div 1000000").alias("time_sec"),
         F.lit(0).alias("time_nanos"), "record", "l_partkey")
     streams = group_streams(
-        events, ("o_orderkey", "tag"), "pos", ("record", "time_sec", "time_nanos", "l_partkey"))
+        events, ("o_orderkey", "tag"), "pos", ("record", "time_sec", "time_nanos", "l_partkey"),
+        unique_order=False)     # line numbers repeat within an order of these tables
     return streams.select(
         "o_orderkey", "tag", F.size("entries").alias("entries"),
         F.array_join(F.transform("entries", lambda e: e["record"]), ";").alias("records"))
@@ -149,7 +149,7 @@ FROM l GROUP BY o_orderkey, tag"""
 def conversation_streams(spark, sf_dir):
     """Each conversation rebuilt from its turns; whole texts, in turn order."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    streams = group_streams(turns, ("conv_id",), "turn", ("role", "text"))
+    streams = group_streams(turns, ("conv_id",), "turn", ("role", "text"), unique_order=False)
     return streams.select(
         "conv_id", F.size("entries").alias("entries"),
         F.md5(F.array_join(F.transform("entries", lambda e: F.concat(e["role"], F.lit(":"), e["text"])), "|")
