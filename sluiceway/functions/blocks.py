@@ -2,7 +2,8 @@
 
 A *block* is a run of consecutive segments of one connection. Blocks of the same
 connection are scanned by different tasks: all but the first start at a guessed value
-boundary, and `chain_blocks` later checks each guess against the block before it.
+boundary. `walk_blocks` goes over the blocks' states, without their bytes, to say what
+each block must continue; `check_heads` then tests the guesses, each on its own.
 These functions take and give Arrow batches so that they run inside `mapInArrow`.
 """
 
@@ -32,29 +33,33 @@ FRAME_COLUMNS = pa.schema([
 ])
 
 SUMMARY_DDL = (
-    "conn_id BIGINT, remote_addr STRING, block BIGINT, segments BIGINT, gap BOOLEAN, "
+    "conn_id BIGINT, remote_addr STRING, block BIGINT, segments BIGINT, size BIGINT, gap BOOLEAN, "
     "entry_need BIGINT, entry_skip BIGINT, entry_part BINARY, "
-    "boundary BOOLEAN, head BINARY, frames BIGINT, tail BINARY, "
+    "boundary BOOLEAN, head_size BIGINT, frames BIGINT, tail_size BIGINT, "
     "exit_need BIGINT, exit_skip BIGINT, exit_part BINARY, "
     "error_class STRING, detail STRING, fault_us BIGINT, "
-    "first_us BIGINT, head_us BIGINT, tail_us BIGINT, last_us BIGINT"
+    "first_us BIGINT, head_us BIGINT, tail_us BIGINT, last_us BIGINT, "
+    "head BINARY, tail BINARY"
 )
-_SUMMARY = pa.schema([
-    (name, {"BIGINT": pa.int64(), "STRING": pa.string(),
-            "BOOLEAN": pa.bool_(), "BINARY": pa.binary()}[kind])
-    for name, kind in (column.split() for column in SUMMARY_DDL.split(", "))
-])
+# What a block must continue, and whether the block is known not to do so.
+DOUBT_DDL = "conn_id BIGINT, block BIGINT, need BIGINT, skip BIGINT, part BINARY, wrong BOOLEAN"
+# Where a block's own values start (-1: nowhere), the number of the first of them, and the
+# numbers of the values its head and tail belong to.
+PLAN_DDL = (
+    "conn_id BIGINT, block BIGINT, start BIGINT, base BIGINT, head_of BIGINT, tail_of BIGINT")
+# Values over several blocks and faults; their bytes are put together from heads and tails.
+VALUE_DDL = (
+    "conn_id BIGINT, remote_addr STRING, frame_no BIGINT, recv_us BIGINT, "
+    "error_class STRING, detail STRING")
 
-RESCAN_DDL = "conn_id BIGINT, block BIGINT, need BIGINT, skip BIGINT, part BINARY"
-_RESCAN = pa.schema([
-    ("conn_id", pa.int64()), ("block", pa.int64()), ("need", pa.int64()),
-    ("skip", pa.int64()), ("part", pa.binary()),
-])
 
-PLAN_DDL = "conn_id BIGINT, block BIGINT, start BIGINT, base BIGINT"
-_PLAN = pa.schema([
-    ("conn_id", pa.int64()), ("block", pa.int64()), ("start", pa.int64()), ("base", pa.int64()),
-])
+def arrow_schema(ddl: str) -> pa.Schema:
+    kinds = {"BIGINT": pa.int64(), "STRING": pa.string(), "BOOLEAN": pa.bool_(), "BINARY": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in ddl.split(", "))])
+
+
+SUMMARY = arrow_schema(SUMMARY_DDL)
+THIN_COLUMNS = [n for n in SUMMARY.names if n not in ("head", "tail")]
 
 
 @dataclass
@@ -236,7 +241,7 @@ def summarise_blocks(block_segments: int, limit: int | None):
 
     def run(batches):
         for block in read_blocks(batches, block_segments):
-            yield _rows(_SUMMARY, [_summary(block, limit)])
+            yield _rows(SUMMARY, [_summary(block, limit)])
 
     return run
 
@@ -277,13 +282,13 @@ def _summary(block: Block, limit: int | None):
         boundary, count, tail, tail_us, leave = False, 0, b"", None, inside
         head = buf if not fault else buf[:fault[2] + 1]
     return (
-        block.conn_id, block.remote_addr, block.block, len(block.us), block.gap,
-        *entry, boundary, head, count, tail, *leave,
+        block.conn_id, block.remote_addr, block.block, len(block.us), len(buf), block.gap,
+        *entry, boundary, len(head), count, len(tail), *leave,
         fault and fault[0], fault and fault[1],
         block.arrival(fault[2]) if fault else None,
         block.first_us,
         block.arrival(len(head) - 1) if head else None, tail_us,
-        int(block.us[-1]) if len(block.us) else None,
+        int(block.us[-1]) if len(block.us) else None, head, tail,
     )
 
 
@@ -293,96 +298,101 @@ class _Walk:
     def __init__(self, conn_id, remote_addr):
         self.conn_id, self.remote_addr = conn_id, remote_addr
         self.need, self.skip, self.part = 0, 0, b""
-        self.held, self.held_us = [], None      # bytes of the unfinished value
+        self.held, self.held_us = 0, None       # size and arrival of the unfinished value
         self.frame_no, self.next_block, self.short = 0, 0, False
         self.dead, self.lost = False, False
         self.last_us = None
 
-    def row(self, us, frame, kind=None, detail=None):
-        return (self.conn_id, self.remote_addr, self.frame_no, us,
-                None if frame is None else len(frame), frame, kind, detail)
-
-    def size(self):
-        return sum(map(len, self.held))
+    def value(self, us, kind=None, detail=None):
+        return self.conn_id, self.remote_addr, self.frame_no, us, kind, detail
 
     def fail(self, us, kind, detail):
         self.dead = True
-        return self.row(us, _fault_bytes(kind, b"".join(self.held)), kind, detail)
+        return self.value(us, kind, detail)
 
-    def hold(self, data, us):
+    def hold(self, size, us):
         if not self.held:
             self.held_us = us
-        if data:
-            self.held.append(data)
+        self.held += size
 
 
-def _fits(walk: _Walk, row: dict):
-    """How the block continues what came before it.
+def _fit(walk: _Walk, row: dict):
+    """How the block continues what came before it: ``(fit, new state, to be checked)``.
 
     'ends'   the unfinished value ends exactly where the block's first value starts,
-    'inside' the whole block lies inside the unfinished value (new state returned),
+    'inside' the whole block lies inside the unfinished value (new state given),
     None     the block must be scanned again from the state that really precedes it.
     """
-    entry = (row["entry_need"], row["entry_skip"], row["entry_part"])
-    if row["entry_need"] is not None and entry == (walk.need, walk.skip, walk.part):
-        if row["boundary"]:
-            return "ends", None
-        return "inside", (row["exit_need"], row["exit_skip"], row["exit_part"])
+    now = (walk.need, walk.skip, walk.part)
+    leave = (row["exit_need"], row["exit_skip"], row["exit_part"])
+    if row["entry_need"] is not None and (
+            row["entry_need"], row["entry_skip"], row["entry_part"]) == now:
+        return ("ends", None, False) if row["boundary"] else ("inside", leave, False)
+    if not row["size"]:
+        return "inside", now, False
     if not walk.need and not walk.skip:
-        if row["boundary"]:
-            return ("ends", None) if not row["head"] else (None, None)
-        return (None, None) if row["head"] else ("inside", (0, 0, b""))
-    if row["entry_need"] is not None and not row["boundary"] and row["error_class"]:
-        return None, None
-    data = walk.part + row["head"]
-    try:
-        reached, need = advance(data, walk.skip, walk.need)
-    except Corrupt:
-        return None, None
+        return ("ends", None, False) if row["boundary"] and not row["head_size"] else (None, None, False)
     if row["boundary"]:
-        return ("ends", None) if not need and reached == len(data) else (None, None)
-    if need or reached > len(data):
-        return "inside", (need, max(reached - len(data), 0), data[reached:])
-    return None, None
-
+        return "ends", None, True
+    beyond = walk.skip - row["size"]
+    if not row["error_class"] and (beyond > 0 or (beyond == 0 and walk.need)):
+        return "inside", (walk.need, beyond, b""), False
+    return None, None, False
 
-def chain_blocks(block_segments: int, limit: int | None, want: str):
-    """mapInArrow body over summaries sorted by (conn_id, block).
 
-    ``want``: 'rescan' gives the blocks whose guess was wrong, with the state to start
-    from; 'plan' gives where each block's own values start and how they are numbered;
-    'frames' gives the values that cross block borders, and the fault that ends a
-    connection. Only one unfinished value is held at a time.
+def check_heads(batches):
+    """mapInArrow body over doubts joined with `head`: those whose guess was wrong."""
+    names = [c.split()[0] for c in DOUBT_DDL.split(", ")]
+    for batch in batches:
+        wrong = []
+        for row in batch.to_pylist():
+            data = row["part"] + row["head"]
+            try:
+                good = advance(data, row["skip"], row["need"]) == (len(data), 0)
+            except Corrupt:
+                good = False
+            if not good:
+                wrong.append(tuple({**row, "wrong": True}[n] for n in names))
+        yield _rows(arrow_schema(DOUBT_DDL), wrong)
+
+
+def walk_blocks(block_segments: int, limit: int | None, want: str):
+    """mapInArrow body over `THIN_COLUMNS` sorted by (conn_id, block).
+
+    ``want``: 'doubt', 'plan' or 'value', see the DDL of each above.
     """
-    schema = {"rescan": _RESCAN, "plan": _PLAN, "frames": FRAME_COLUMNS}[want]
-
+    schema = arrow_schema({"doubt": DOUBT_DDL, "plan": PLAN_DDL, "value": VALUE_DDL}[want])
     rows = []
 
     def emit(kind, row):
         if kind == want:
             rows.append(row)
 
-    def kill(walk, row):
-        emit("plan", (walk.conn_id, row["block"], -1, 0))
-
     def too_large(walk):
         return walk.fail(walk.held_us, *_too_large(limit, 0)[:2])
 
+    def over(walk):
+        return limit is not None and walk.held > limit
+
+    def plan(walk, row, start=-1, base=0, head_of=None, tail_of=None):
+        emit("plan", (walk.conn_id, row["block"], start, base, head_of, tail_of))
+
     def step(walk: _Walk, row: dict):
         if walk.lost:
             return None
         if walk.dead:
-            return kill(walk, row)
+            return plan(walk, row)
         if row["block"] != walk.next_block or walk.short:
             us = walk.last_us if walk.last_us is not None else row["first_us"]
-            emit("frames", walk.fail(us, SEQUENCE_GAP, GAP_DETAIL))
-            return kill(walk, row)
+            emit("value", walk.fail(us, SEQUENCE_GAP, GAP_DETAIL))
+            return plan(walk, row)
         walk.next_block += 1
         walk.short = row["segments"] < block_segments
 
-        fit, state = _fits(walk, row)
+        fit, state, check = _fit(walk, row)
+        if fit is None or check:
+            emit("doubt", (walk.conn_id, row["block"], *(walk.need, walk.skip, walk.part), not fit))
         if fit is None:
-            emit("rescan", (walk.conn_id, row["block"], walk.need, walk.skip, walk.part))
             if row["exit_need"] is None:
                 walk.lost = True
                 return None
@@ -392,43 +402,43 @@ def chain_blocks(block_segments: int, limit: int | None, want: str):
 
         if row["last_us"] is not None:
             walk.last_us = row["last_us"]
+        number = walk.frame_no
         if fit == "inside":
-            walk.hold(row["head"], row["first_us"])
-            kill(walk, row)     # no value starts in this block
+            walk.hold(row["head_size"], row["first_us"])
+            plan(walk, row, head_of=number)     # no value starts in this block
             if row["error_class"]:
-                if limit is not None and walk.size() > limit:
-                    emit("frames", too_large(walk))
-                else:
-                    emit("frames", walk.fail(row["fault_us"], row["error_class"], row["detail"]))
+                emit("value", too_large(walk) if over(walk) else walk.fail(
+                    row["fault_us"], row["error_class"], row["detail"]))
                 return None
             walk.need, walk.skip, walk.part = state
         else:
             if walk.held:
-                walk.hold(row["head"], None)
-                if limit is not None and walk.size() > limit:
-                    emit("frames", too_large(walk))
-                    return kill(walk, row)
-                emit("frames", walk.row(row["head_us"], b"".join(walk.held)))
-                walk.held = []
+                walk.hold(row["head_size"], None)
+                if over(walk):
+                    emit("value", too_large(walk))
+                    return plan(walk, row)
+                emit("value", walk.value(row["head_us"]))
+                walk.held = 0
                 walk.frame_no += 1
-            emit("plan", (walk.conn_id, row["block"], len(row["head"]), walk.frame_no))
+            base = walk.frame_no
             walk.frame_no += row["frames"]
-            walk.hold(row["tail"], row["tail_us"])
+            plan(walk, row, row["head_size"], base, number, walk.frame_no)
+            walk.hold(row["tail_size"], row["tail_us"])
             if row["error_class"]:
-                emit("frames", walk.fail(row["fault_us"], row["error_class"], row["detail"]))
+                emit("value", walk.fail(row["fault_us"], row["error_class"], row["detail"]))
                 return None
             walk.need, walk.skip, walk.part = (
                 row["exit_need"], row["exit_skip"], row["exit_part"])
-        if limit is not None and walk.size() > limit:
-            emit("frames", too_large(walk))
+        if over(walk):
+            emit("value", too_large(walk))
         elif row["gap"]:
             us = walk.last_us if walk.last_us is not None else row["first_us"]
-            emit("frames", walk.fail(us, SEQUENCE_GAP, GAP_DETAIL))
+            emit("value", walk.fail(us, SEQUENCE_GAP, GAP_DETAIL))
         return None
 
     def finish(walk: _Walk | None):
         if walk and walk.held and not walk.dead and not walk.lost:
-            emit("frames", walk.fail(walk.last_us, INCOMPLETE, incomplete_detail(walk.size())))
+            emit("value", walk.fail(walk.last_us, INCOMPLETE, incomplete_detail(walk.held)))
 
     def run(batches):
         walk = None
@@ -438,7 +448,7 @@ def chain_blocks(block_segments: int, limit: int | None, want: str):
                     finish(walk)
                     walk = _Walk(row["conn_id"], row["remote_addr"])
                 step(walk, row)
-                if rows and (want == "frames" or len(rows) >= 4096):
+                if len(rows) >= 4096:
                     yield _rows(schema, rows)
                     rows.clear()
         finish(walk)
@@ -447,3 +457,29 @@ def chain_blocks(block_segments: int, limit: int | None, want: str):
             rows.clear()
 
     return run
+
+
+def assemble_values(batches):
+    """mapInArrow body over rows sorted by (conn_id, frame_no, ord).
+
+    The first row (`ord` -1) of a value is its `VALUE_DDL` row, the others its bytes. Only
+    one value is held at a time.
+    """
+    value, parts = None, []
+
+    def built():
+        held = _fault_bytes(value["error_class"], b"".join(parts))
+        return _rows(FRAME_COLUMNS, [(
+            value["conn_id"], value["remote_addr"], value["frame_no"], value["recv_us"],
+            None if held is None else len(held), held, value["error_class"], value["detail"])])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["ord"] < 0:
+                if value:
+                    yield built()
+                value, parts = row, []
+            elif value and (row["conn_id"], row["frame_no"]) == (value["conn_id"], value["frame_no"]):
+                parts.append(row["payload"])
+    if value:
+        yield built()

@@ -39,7 +39,8 @@ def parse_networks(clients: DataFrame) -> DataFrame:
 
     A host is a network of full length and takes the place of the client's network.
     """
-    spec = F.pandas_udf(client_specs, SPEC_DDL)
+    # Declared nondeterministic so that filters on the result do not run it a second time.
+    spec = F.pandas_udf(client_specs, SPEC_DDL).asNondeterministic()
     return (
         clients.withColumn("_spec", spec("host", "network"))
         .select(*clients.columns, "_spec.family", "_spec.plen", "_spec.prefix_bits", "_spec.spec_error"))
@@ -60,7 +61,7 @@ def match_clients(df: DataFrame, clients: DataFrame, addr_col: str = "remote_add
     networks = parse_networks(clients).where("spec_error IS NULL").groupBy(
         "family", "plen", "prefix_bits").agg(F.min("ord").alias("ord"))
     lengths = networks.select("family", "plen").distinct()
-    bits = F.pandas_udf(address_bits, BITS_DDL)
+    bits = F.pandas_udf(address_bits, BITS_DDL).asNondeterministic()    # once per distinct address
     addresses = (
         df.select(F.col(addr_col).alias("_addr")).where("_addr IS NOT NULL").distinct()
         .withColumn("_bits", bits("_addr"))
@@ -122,17 +123,16 @@ def check_pings(pings: DataFrame, clients: DataFrame, users: DataFrame,
     if not cfg.user_auth:
         return judged.select(*columns)
 
-    # Only pings that came this far look at the users; one pair that fits is enough.
-    to_check = judged.where(F.col("reason") == USER_MISMATCH)
+    # A digest fits one password of a name at most, so this outer join gives each ping once.
     known = users.select(F.col("username").alias("_name"), "password").distinct()
     fits = (
-        (F.col("username") == F.col("_name")) & _may_use("usernames", "username")
+        (F.col("reason") == USER_MISMATCH)
+        & (F.col("username") == F.col("_name")) & _may_use("usernames", "username")
         & (sha512_hex(F.col("user_salt"), F.col("username"), F.col("password"))
            == F.col("password_digest")))
-    passed = to_check.join(known, fits, "left_semi").withColumn("reason", F.lit(None).cast("string"))
-    failed = to_check.join(known, fits, "left_anti")
-    early = judged.where(F.coalesce(F.col("reason") != USER_MISMATCH, F.lit(True)))
-    return early.unionByName(passed).unionByName(failed).select(*columns)
+    checked = judged.join(known, fits, "left").withColumn(
+        "reason", F.when(F.col("_name").isNull(), F.col("reason")))
+    return checked.select(*columns)
 
 
 class Handshake(NamedTuple):

@@ -34,17 +34,38 @@ def reassemble_frames(
             parts, blocks.frame_blocks(block_segments, max_chunk_bytes), schemas.FRAMES)
 
     summaries = _agreed_summaries(segments, later_blocks, max_chunk_bytes, block_segments)
-    plan = _chain(summaries, block_segments, max_chunk_bytes, "plan", blocks.PLAN_DDL)
-    crossing = _chain(summaries, block_segments, max_chunk_bytes, "frames", schemas.FRAMES)
-    control = plan.select(
-        "conn_id", F.lit(None).cast("string").alias("remote_addr"), "block",
-        F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("bigint").alias("recv_us"),
-        F.lit(None).cast("binary").alias("payload"),
-        F.col("start").alias("ctl_a"), F.col("base").alias("ctl_b"))
+    plan = _walk(summaries, block_segments, max_chunk_bytes, "plan", blocks.PLAN_DDL)
     inside = _per_block(
-        parts.unionByName(control),
+        parts.unionByName(_control(plan, F.lit(None).cast("binary"), "start", "base")),
         blocks.frame_blocks(block_segments, max_chunk_bytes), schemas.FRAMES)
-    return inside.unionByName(crossing)
+    values = _walk(summaries, block_segments, max_chunk_bytes, "value", blocks.VALUE_DDL)
+    return inside.unionByName(_crossing(values, summaries, plan))
+
+
+def _control(rows: DataFrame, payload, a: str, b: str) -> DataFrame:
+    """Rows that go before the segments of a block and tell its task how to read it."""
+    none = lambda kind: F.lit(None).cast(kind)
+    return rows.select(
+        "conn_id", none("string").alias("remote_addr"), "block",
+        F.lit(-1).cast("bigint").alias("seq"), none("bigint").alias("recv_us"),
+        payload.alias("payload"), F.col(a).alias("ctl_a"), F.col(b).alias("ctl_b"))
+
+
+def _crossing(values: DataFrame, summaries: DataFrame, plan: DataFrame) -> DataFrame:
+    """Values (and faulty ends) that lie in several blocks, from those blocks' edges."""
+    edges = summaries.select("conn_id", "block", "head", "tail").join(
+        plan.where("head_of IS NOT NULL OR tail_of IS NOT NULL"), ["conn_id", "block"])
+    piece = lambda side, order: F.struct(
+        F.col(f"{side}_of").alias("frame_no"), order.alias("ord"), F.col(side).alias("payload"))
+    pieces = edges.select("conn_id", F.explode(F.array(
+        piece("head", F.col("block") * 2), piece("tail", F.col("block") * 2 + 1))).alias("p")
+    ).select("conn_id", "p.*").where("frame_no IS NOT NULL AND octet_length(payload) > 0")
+    rows = pieces.unionByName(
+        values.withColumn("ord", F.lit(-1).cast("bigint")), allowMissingColumns=True)
+    return (
+        rows.repartition("conn_id", "frame_no")
+        .sortWithinPartitions("conn_id", "frame_no", "ord")
+        .mapInArrow(blocks.assemble_values, schemas.FRAMES))
 
 
 def _with_block(segments: DataFrame, block_segments: int) -> DataFrame:
@@ -68,11 +89,12 @@ def _per_block(rows: DataFrame, body, ddl: str) -> DataFrame:
     )
 
 
-def _chain(summaries: DataFrame, block_segments, limit, want: str, ddl: str) -> DataFrame:
+def _walk(summaries: DataFrame, block_segments, limit, want: str, ddl: str) -> DataFrame:
+    """Go over each connection's block states in order; their bytes are not read."""
     return (
-        summaries.repartition("conn_id")
+        summaries.select(*blocks.THIN_COLUMNS).repartition("conn_id")
         .sortWithinPartitions("conn_id", "block")
-        .mapInArrow(blocks.chain_blocks(block_segments, limit, want), ddl)
+        .mapInArrow(blocks.walk_blocks(block_segments, limit, want), ddl)
     )
 
 
@@ -97,20 +119,20 @@ def _agreed_summaries(segments, later_blocks, limit, block_segments) -> DataFram
         _per_block(_with_block(many, block_segments), scan, blocks.SUMMARY_DDL), "scan-0")
     turn = 0
     while True:
+        doubts = stored(
+            _walk(summaries, block_segments, limit, "doubt", blocks.DOUBT_DDL), f"doubt-{turn}")
+        to_check = doubts.where("NOT wrong").join(
+            summaries.select("conn_id", "block", "head"), ["conn_id", "block"])
         wrong = stored(
-            _chain(summaries, block_segments, limit, "rescan", blocks.RESCAN_DDL),
-            f"wrong-{turn}")
+            doubts.where("wrong").unionByName(
+                to_check.mapInArrow(blocks.check_heads, blocks.DOUBT_DDL)), f"wrong-{turn}")
         if wrong.isEmpty():
             return summaries
         turn += 1
         keys = wrong.select("conn_id", "block")
-        control = wrong.select(
-            "conn_id", F.lit(None).cast("string").alias("remote_addr"), "block",
-            F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("bigint").alias("recv_us"),
-            F.col("part").alias("payload"),
-            F.col("need").alias("ctl_a"), F.col("skip").alias("ctl_b"))
-        again = _with_block(segments, block_segments).join(keys, ["conn_id", "block"], "left_semi")
-        rescanned = _per_block(again.unionByName(control), scan, blocks.SUMMARY_DDL)
+        again = _with_block(many, block_segments).join(keys, ["conn_id", "block"], "left_semi")
+        rescanned = _per_block(
+            again.unionByName(_control(wrong, F.col("part"), "need", "skip")), scan, blocks.SUMMARY_DDL)
         summaries = stored(
             summaries.join(keys, ["conn_id", "block"], "left_anti").unionByName(rescanned),
             f"scan-{turn}")

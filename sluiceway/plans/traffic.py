@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluiceway.functions import packing as P
+from sluiceway.session import shared_folder
+from sluiceway.sources.tables import read_segments
 
 GROUP = 100             # consecutive event ids that share requests
 CONNECTION = 2000       # consecutive event ids on one connection
@@ -21,7 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch_micros(ntz) -> Column:
     """Epoch microseconds of a TIMESTAMP_NTZ read as UTC, whatever the session zone."""
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {ntz})")
+    return F.expr(
+        f"datediff(CAST({ntz} AS DATE), DATE '1970-01-01') * 86400000000 + hour({ntz}) * 3600000000"
+        f" + minute({ntz}) * 60000000L + CAST(extract(SECOND FROM {ntz}) * 1000000 AS BIGINT)")
 
 
 def events_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +113,13 @@ def mixed_mode_segments(spark: SparkSession, sf_dir: str, hot: bool = False) ->
     return cut(groups)
 
 
+def recorded(segments: DataFrame) -> DataFrame:
+    """The segments as a recording on shared storage, which is what a job is given to read."""
+    path = f"{shared_folder(segments.sparkSession)}/segments"
+    segments.write.parquet(path)
+    return read_segments(segments.sparkSession, path)
+
+
 def hex_array(size: int) -> Column:
     return P.hex_bytes(f"{0x90 + size:02X}")
 

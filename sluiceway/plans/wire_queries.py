@@ -24,13 +24,13 @@ def event_rows(events: DataFrame) -> DataFrame:
 
 
 def roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segments = traffic.mixed_mode_segments(spark, sf_dir)
+    segments = traffic.recorded(traffic.mixed_mode_segments(spark, sf_dir))
     return event_rows(explode_events(decode_requests(reassemble_frames(segments))))
 
 
 def roundtrip_hot_connection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of all events on one connection, framed by many tasks."""
-    segments = traffic.mixed_mode_segments(spark, sf_dir, hot=True)
+    segments = traffic.recorded(traffic.mixed_mode_segments(spark, sf_dir, hot=True))
     frames = reassemble_frames(segments, block_segments=HOT_BLOCK)
     return event_rows(explode_events(decode_requests(frames)))
 
@@ -64,7 +64,7 @@ HOT_SQL = _roundtrip_sql(
 def wire_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: everything from bytes to a count and a sum per tag."""
     events = explode_events(decode_requests(
-        reassemble_frames(traffic.mixed_mode_segments(spark, sf_dir))))
+        reassemble_frames(traffic.recorded(traffic.mixed_mode_segments(spark, sf_dir)))))
     value = F.get_json_object("record", "$.value").cast("decimal(18,2)")
     return events.groupBy("tag").agg(
         F.count("*").alias("entries"), F.sum(value).cast("double").alias("total_value"))
@@ -87,7 +87,7 @@ def _one_frame_each(spark: SparkSession, sf_dir: str, frame: Column) -> DataFram
         P.join_hex(F.transform(
             F.array_sort(F.collect_list(F.struct("event_id", "frame"))),
             lambda e: e["frame"])).alias("payload"))
-    return traffic.cut(groups)
+    return traffic.recorded(traffic.cut(groups))
 
 
 def _damaged_frame() -> Column:
@@ -178,9 +178,9 @@ def _document_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = F.concat(
         traffic.hex_array(3), P.pack_str("source"), P.pack_int(F.col("doc_id") + 1),
         P.map_header(F.lit(1)), P.pack_str(F.lit("text")), P.pack_str("text"))
-    return traffic.cut(docs.select(
+    return traffic.recorded(traffic.cut(docs.select(
         F.expr(f"doc_id div {DOCS}").alias("conn_id"), F.expr(f"doc_id % {DOCS}").alias("grp_in_conn"),
-        F.lit(1_700_000_000_000_000).alias("recv_us"), frame.alias("payload")))
+        F.lit(1_700_000_000_000_000).alias("recv_us"), frame.alias("payload"))))
 
 
 def documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

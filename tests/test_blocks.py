@@ -58,6 +58,11 @@ SEGMENTS = pa.schema([
     ("ctl_a", pa.int64()), ("ctl_b", pa.int64())])
 
 
+THIN = pa.schema([blocks.SUMMARY.field(n) for n in blocks.THIN_COLUMNS])
+DOUBT_HEADS = blocks.arrow_schema(blocks.DOUBT_DDL).append(pa.field("head", pa.binary()))
+PIECES = blocks.arrow_schema(blocks.VALUE_DDL).append(pa.field("ord", pa.int64())).append(pa.field("payload", pa.binary()))
+
+
 def batches(rows, schema, size=7):
     for i in range(0, len(rows), size):
         yield pa.RecordBatch.from_pylist(rows[i:i + size], schema=schema)
@@ -73,12 +78,19 @@ def frames_of(rows, block_segments, limit=None):
         return run(blocks.frame_blocks(block_segments, limit), sorted(rows, key=order), SEGMENTS)
     many = [r for r in rows if r["conn_id"] in late]
     key = lambda r: (r["conn_id"], r["block"])
-    chain = lambda want: run(
-        blocks.chain_blocks(block_segments, limit, want), sorted(summaries, key=key), blocks._SUMMARY)
+    walk = lambda want: run(
+        blocks.walk_blocks(block_segments, limit, want),
+        [{k: r[k] for k in blocks.THIN_COLUMNS} for r in sorted(summaries, key=key)], THIN)
     scan = blocks.summarise_blocks(block_segments, limit)
     summaries = run(scan, sorted(many, key=order), SEGMENTS)
     turns = 0
-    while wrong := chain("rescan"):
+    while True:
+        doubts = walk("doubt")
+        heads = {key(s): s["head"] for s in summaries}
+        wrong = [d for d in doubts if d["wrong"]] + run(
+            blocks.check_heads, [{**d, "head": heads[key(d)]} for d in doubts if not d["wrong"]], DOUBT_HEADS)
+        if not wrong:
+            break
         turns += 1
         assert turns <= len(rows) + 1, "no progress"
         control = [dict(conn_id=w["conn_id"], remote_addr=None, block=w["block"], seq=-1,
@@ -88,11 +100,18 @@ def frames_of(rows, block_segments, limit=None):
         again = [r for r in many if key(r) in keys]
         summaries = [s for s in summaries if key(s) not in keys] + run(
             scan, sorted(again + control, key=order), SEGMENTS)
+    plan = walk("plan")
     control = [dict(conn_id=p["conn_id"], remote_addr=None, block=p["block"], seq=-1,
                     recv_us=None, payload=None, ctl_a=p["start"], ctl_b=p["base"])
-               for p in chain("plan")]
+               for p in plan]
+    by_key = {key(s): s for s in summaries}
+    pieces = [{**dict.fromkeys(PIECES.names), **v, "ord": -1} for v in walk("value")] + [
+        {**dict.fromkeys(PIECES.names), "conn_id": p["conn_id"], "frame_no": p[side + "_of"],
+         "ord": 2 * p["block"] + (side == "tail"), "payload": by_key[key(p)][side]}
+        for p in plan for side in ("head", "tail") if p[side + "_of"] is not None and by_key[key(p)][side]]
     return run(blocks.frame_blocks(block_segments, limit),
-               sorted(rows + control, key=order), SEGMENTS) + chain("frames")
+               sorted(rows + control, key=order), SEGMENTS) + run(
+        blocks.assemble_values, sorted(pieces, key=lambda r: (r["conn_id"], r["frame_no"], r["ord"])), PIECES)
 
 
 def result(frames):
@@ -183,8 +202,11 @@ def test_good_guesses_need_no_second_scan(monkeypatch):
     summaries = [r for b in blocks.summarise_blocks(8, None)(batches(sorted(rows, key=key), SEGMENTS))
                  for r in b.to_pylist()]
     assert len(calls) == len(summaries) - 1 > 10
-    wrong = list(blocks.chain_blocks(8, None, "rescan")(batches(summaries, blocks._SUMMARY)))
-    assert not wrong
+    thin = [{k: r[k] for k in blocks.THIN_COLUMNS} for r in summaries]
+    doubts = [r for b in blocks.walk_blocks(8, None, "doubt")(batches(thin, THIN)) for r in b.to_pylist()]
+    assert doubts and not any(d["wrong"] for d in doubts)
+    checked = [{**d, "head": summaries[d["block"]]["head"]} for d in doubts]
+    assert not [r for b in blocks.check_heads(batches(checked, DOUBT_HEADS)) for r in b.to_pylist()]
 
 
 @pytest.mark.parametrize("raw,end", [(b"\x92\x01\xa1x", 4), (b"\x81\xa1a\xcd\x01\x02", 6), (b"\xc7\x02\x05ab", 5)])
