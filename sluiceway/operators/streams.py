@@ -21,8 +21,8 @@ def group_streams(
     A stream longer than ``entries_per_stream`` comes as several rows, to be read by
     `part`, so that no task holds more entries of one stream than that. The bound needs
     ``order`` to be unique within ``keys``, as it is for the entries of a request. With
-    ``unique_order=False`` parts that are crowded all the same are found by counting and
-    split further, to be read by `part`, then `piece`.
+    ``unique_order=False`` parts that are crowded all the same are found by counting, when
+    this is called, and split further, to be read by `part`, then `piece`.
     """
     n = int(entries_per_stream)
     placed = events.select(
@@ -37,6 +37,8 @@ def group_streams(
 
     place = [*keys, "part"]
     crowded = placed.groupBy(*place).count().where(F.col("count") > n)
+    if crowded.isEmpty():
+        return whole(placed).withColumn("piece", F.lit(0).cast("bigint"))
     same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in place]
     calm = whole(placed.alias("p").join(crowded.alias("c"), same, "left_anti")).select(
         *place, F.lit(0).cast("bigint").alias("piece"), "entries")
