@@ -321,7 +321,8 @@ def _fit(walk: _Walk, row: dict):
 
     'ends'   the unfinished value ends exactly where the block's first value starts,
     'inside' the whole block lies inside the unfinished value (new state given),
-    None     the block must be scanned again from the state that really precedes it.
+    None     the block must be scanned again from the state that really precedes it; a
+             new state is given if the bytes do not matter for it.
     """
     now = (walk.need, walk.skip, walk.part)
     leave = (row["exit_need"], row["exit_skip"], row["exit_part"])
@@ -332,11 +333,12 @@ def _fit(walk: _Walk, row: dict):
         return "inside", now, False
     if not walk.need and not walk.skip:
         return ("ends", None, False) if row["boundary"] and not row["head_size"] else (None, None, False)
+    beyond = walk.skip - row["size"]
+    if beyond > 0 or (beyond == 0 and walk.need):
+        known = not row["boundary"] and not row["error_class"]     # then `head` is the block
+        return "inside" if known else None, (walk.need, beyond, b""), False
     if row["boundary"]:
         return "ends", None, True
-    beyond = walk.skip - row["size"]
-    if not row["error_class"] and (beyond > 0 or (beyond == 0 and walk.need)):
-        return "inside", (walk.need, beyond, b""), False
     return None, None, False
 
 
@@ -393,10 +395,14 @@ def walk_blocks(block_segments: int, limit: int | None, want: str):
         if fit is None or check:
             emit("doubt", (walk.conn_id, row["block"], *(walk.need, walk.skip, walk.part), not fit))
         if fit is None:
+            # Go on as well as is known, so that one round finds every other wrong block too.
+            if state is not None:
+                walk.hold(row["size"], row["first_us"])
+                walk.need, walk.skip, walk.part = state
+                return None
             if row["exit_need"] is None:
                 walk.lost = True
                 return None
-            # Go on from the guess, so that one round finds every other wrong block too.
             fit = "ends" if row["boundary"] else "inside"
             state = (row["exit_need"], row["exit_skip"], row["exit_part"])
 

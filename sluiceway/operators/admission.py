@@ -98,17 +98,25 @@ def _may_use(usernames: str, name: str) -> Column:
 
 def eligible_users(pings: DataFrame, clients: DataFrame, users: DataFrame,
                    cfg: AdmissionConfig | None = None) -> DataFrame:
-    """(ping, user) pairs: users of that name, if the matched client may use the name."""
+    """How many users of the ping's name there are, if the matched client may use the name.
+
+    One row per ping and name: users of one name differ in their password only, which
+    does not leave this module, so pairs would say no more than the count.
+    """
+    named = users.groupBy("username").agg(F.count("*").alias("users"))
     with_client = _with_client(pings, clients, cfg or AdmissionConfig(""))
-    return (
-        with_client.where(_may_use("usernames", "username"))
-        .join(users.select("username"), "username")
-        .select("conn_id", "client_ord", "username"))
+    return spread_join(
+        with_client.where(_may_use("usernames", "username")), named, "username", "inner", ["conn_id"]
+    ).select("conn_id", "client_ord", "username", "users")
 
 
 def check_pings(pings: DataFrame, clients: DataFrame, users: DataFrame,
                 cfg: AdmissionConfig) -> DataFrame:
-    """Verdict and reason for each recorded PING; no key or password leaves this table."""
+    """Verdict and reason for each recorded PING; no key or password leaves this function.
+
+    Each PING is salted on its own, so a name's passwords have to be tried one by one; that
+    happens inside the join, which gives one row per PING.
+    """
     digest = sha512_hex(F.col("key_salt"), F.col("client_hostname"), F.col("nonce"), F.col("key"))
     reason = F.lit(None).cast("string")
     if cfg.user_auth:

@@ -188,14 +188,14 @@ SELECT n_nationkey AS ord,
 FROM nation"""
 
 
-def pairs(spark, sf_dir):
+def known_users(spark, sf_dir):
     return eligible_users(pings(spark, sf_dir), clients(spark, sf_dir), users(spark, sf_dir))
 
 
-PAIRS_SQL = f"""
+KNOWN_USERS_SQL = f"""
 WITH {_VERDICT}
-SELECT c AS conn_id, client_ord, 'user-' || x % 25 AS username
-FROM v JOIN supplier ON s_suppkey % 25 = x % 25 WHERE may_use"""
+SELECT c AS conn_id, client_ord, 'user-' || x % 25 AS username, count(*) AS users
+FROM v JOIN supplier ON s_suppkey % 25 = x % 25 WHERE may_use GROUP BY ALL"""
 
 
 def pongs(spark, sf_dir):
@@ -326,7 +326,7 @@ QUERIES = {
     "parse_networks": (specs, SPECS_SQL),
     "network_rejects": (bad_specs, BAD_SPECS_SQL),
     "effective_key": (keys, KEYS_SQL),
-    "eligible_users": (pairs, PAIRS_SQL),
+    "eligible_users": (known_users, KNOWN_USERS_SQL),
     "check_pings": (verdicts, VERDICTS_SQL),
     "check_pings_open": (open_verdicts, OPEN_SQL),
     "pong_rows": (pongs, PONGS_SQL),

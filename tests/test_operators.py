@@ -238,8 +238,8 @@ def test_verdicts(spark):
     open_cfg = AdmissionConfig("me", "global")
     assert {r.conn_id for r in check_pings(pings, table, users, open_cfg).where("ok").collect()} == {1, 3, 4, 6, 7, 8, 9, 11}
     assert {r.reason for r in check_pings(pings.where("conn_id = 1"), table, users, AdmissionConfig("me")).collect()} == {"No shared key configured."}
-    pairs = sorted((r.conn_id, r.username) for r in eligible_users(pings, table, users).where("conn_id IN (1, 8, 9)").collect())
-    assert pairs == [(1, "alice"), (1, "alice"), (9, "bob")]
+    known = eligible_users(pings, table, users).where("conn_id IN (1, 8, 9)").collect()
+    assert sorted((r.conn_id, r.username, r.users) for r in known) == [(1, "alice", 2), (9, "bob", 1)]
     pongs = {r.conn_id: r for r in pong_rows(results, pings, table, cfg).collect()}
     digest = sha("salt", "me", b"nonce", "global")
     assert (pongs[1].ok, pongs[1].reason, pongs[1].hostname, pongs[1].digest) == (True, "", "me", digest)
