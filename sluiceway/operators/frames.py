@@ -20,7 +20,8 @@ def reassemble_frames(
 
     The unit of work is a block of ``block_segments`` consecutive segments, not a
     connection, so a connection that holds a large share of all bytes is read by many
-    tasks. A block of ``block_segments`` times the segment size must fit in a task.
+    tasks. A block of ``block_segments`` times the segment size must fit in a task, and
+    should be several times the usual frame: what crosses block borders is handled twice.
 
     Connections of more than one block take an extra pass, run when this is called: each
     of their blocks is scanned from a guessed boundary, the guesses are checked against

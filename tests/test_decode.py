@@ -67,7 +67,8 @@ def test_options():
     assert (row["mode"], row["chunk"], row["compressed"]) == ("message", "c", "x")
     twice = b"\x94" + pack("tag") + pack(100) + pack({}) + b"\x82" + pack("chunk") + pack("a") + pack("chunk") + pack("b")
     assert one(twice)["chunk"] == "a"
-    assert one(pack(["tag", 1, {}, {b"chunk": "a", 5: 1, "x": [1, {"y": 2}]} if False else {"x": [1, {"y": 2}]}]))["chunk"] is None
+    other = b"\x94" + pack("tag") + pack(1) + pack({}) + b"\x83" + pack(b"chunk") + pack("a") + pack(5) + pack(1) + pack("x") + pack([1, {"y": 2}])
+    assert one(other)["kind"] == "request" and one(other)["chunk"] is None
 
 
 @pytest.mark.parametrize("time,want", [
@@ -117,6 +118,15 @@ def test_rejects(frame, error):
     assert rows[1]["entries"] is None
 
 
+@given(st.one_of(st.binary(max_size=60), st.builds(
+    lambda v, cut, byte, at: (pack(["t", [[1, {"k": v}]] * 2, {"chunk": "c"}])[:cut] + bytes([byte]) + pack(v))[:at],
+    values, st.integers(0, 200), st.integers(0, 255), st.integers(0, 300))))
+@settings(max_examples=500, deadline=None)
+def test_no_bytes_break_the_task(raw):
+    row = one(raw)
+    assert (row["kind"] == "reject") == (row["error_class"] is not None)
+
+
 def test_heartbeat_empty_requests_and_extra_elements():
     assert one(b"\xc0")["kind"] == "heartbeat"
     assert entries(one(pack(["tag", [], {"chunk": "c"}]))) == []
