@@ -10,7 +10,7 @@ from sluiceway.operators.streams import (
     tag_totals, throughput)
 from sluiceway.operators.requests import explode_events
 from sluiceway.functions.times import event_ts
-from sluiceway.plans.traffic import epoch_micros, table
+from sluiceway.plans.traffic import epoch_micros, epoch_micros_sql, table
 from sluiceway.session import shared_folder
 from sluiceway.sources.tables import write_events
 
@@ -120,20 +120,18 @@ FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7 = 0"""
 
 def order_streams(spark, sf_dir):
     """One stream per order from its line items."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("tag"))
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("pos"),
-        "l_partkey", epoch_micros("l_shipdate").alias("us"),
-        F.to_json(F.struct("l_quantity", "l_suppkey")).alias("record"))
-    events = lines.join(orders, "o_orderkey").select(
-        "o_orderkey", "tag", "pos", F.expr("us div 1000000").alias("time_sec"),
-        F.lit(0).alias("time_nanos"), "record", "l_partkey")
+        F.to_json(F.struct("l_quantity", "l_suppkey")).alias("record"),
+        F.expr(f"({epoch_micros_sql('l_shipdate')}) div 1000000").alias("time_sec"), "l_partkey")
     streams = group_streams(
-        events, ("o_orderkey", "tag"), "pos", ("record", "time_sec", "time_nanos", "l_partkey"),
+        lines, ("o_orderkey",), "pos", ("record", "time_sec", "l_partkey"),
         unique_order=False)     # line numbers repeat within an order of these tables
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("tag"))
     return streams.select(
-        "o_orderkey", "tag", F.size("entries").alias("entries"),
-        F.array_join(F.transform("entries", lambda e: e["record"]), ";").alias("records"))
+        "o_orderkey", F.size("entries").alias("entries"),
+        F.array_join(F.transform("entries", lambda e: e["record"]), ";").alias("records"),
+    ).join(orders, "o_orderkey")
 
 
 ORDER_STREAMS_SQL = """

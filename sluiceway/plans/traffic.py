@@ -21,13 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def epoch_micros(ntz) -> Column:
+def epoch_micros_sql(ntz: str) -> str:
     """Epoch microseconds of a TIMESTAMP_NTZ read as UTC, whatever the session zone."""
-    return F.expr(
+    return (
         f"datediff(CAST({ntz} AS DATE), DATE '1970-01-01') * 86400000000 + hour({ntz}) * 3600000000"
         f" + minute({ntz}) * 60000000L + CAST(extract(SECOND FROM {ntz}) * 1000000 AS BIGINT)")
 
 
+def epoch_micros(ntz: str) -> Column:
+    return F.expr(epoch_micros_sql(ntz))
+
+
 def events_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their time in micros, `k` out of `props`, and the request they go in."""
     return table(spark, sf_dir, "events").select(
