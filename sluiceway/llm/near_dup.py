@@ -25,8 +25,10 @@ _NONE = np.uint64(np.iinfo(np.uint64).max)
 _FRACTION = np.uint64((1 << 56) - 1)
 #: Chance of a pair at the threshold to share no band, at most.
 MISS = 1e-6
-#: Rounds in which each set is compared with the one it shares most bands with.
-PIVOT_ROUNDS = 2
+#: Rounds in which each set is compared with those it shares most bands with, and with how many.
+PIVOTS = (1, 4)
+#: Signatures that the sketches of the last round are made of.
+SKETCHES = 4
 
 
 def band_rows(threshold: float, miss: float = MISS) -> int:
@@ -74,7 +76,7 @@ def sketches(signature: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce((padded << shift).reshape(-1, 8, 16), axis=2).view(np.int64)
 
 
-_SIGNED = "doc_id BIGINT, n_shingles BIGINT, digest BINARY, bands ARRAY<BIGINT>, sketch ARRAY<BIGINT>"
+_SIGNED = "doc_id BIGINT, n_shingles BIGINT, digest BINARY, bands ARRAY<BIGINT>"
 
 
 def _lists(matrix: np.ndarray) -> pa.Array:
@@ -92,9 +94,18 @@ def _sign(batches, words: int, rows: int):
                       for a, b in zip(starts[:-1], starts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.diff(starts).astype(np.int64)),
-                pa.array(digest, pa.binary()), _lists(band_keys(signature, rows)),
-                _lists(sketches(signature))],
-                ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                pa.array(digest, pa.binary()), _lists(band_keys(signature, rows))],
+                ["doc_id", "n_shingles", "digest", "bands"])
+
+
+def _sketch(batches, words: int):
+    """Sketches of SKETCHES further signatures of each text."""
+    for whole in batches:
+        for batch in tx.slices(whole, "text"):
+            values, starts = tx.shingles(*tx.words(batch.column("text")), words)
+            salted = [signatures(tx.mix(values ^ salt), starts) for salt in tx.seed_values(31, SKETCHES)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), _lists(np.hstack([sketches(x) for x in salted]))], ["rep", "sketch"])
 
 
 def _verify(batches, words: int, percent: int):
@@ -118,7 +129,7 @@ def _close(batch: pa.RecordBatch, words: int, percent: int) -> list[bool]:
 def _distance(a: str, b: str):
     """Places in which the two sketches differ."""
     total = F.lit(0)
-    for i in range(8):
+    for i in range(8 * SKETCHES):
         x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
@@ -127,9 +138,12 @@ def _distance(a: str, b: str):
 
 
 def sketch_limit(threshold: float) -> int:
-    """Differing places that a pair at the threshold exceeds once in ten million times."""
-    p = (1 - threshold) * 15 / 16
-    return int(LENGTH * p + 5.5 * (LENGTH * p * (1 - p)) ** 0.5) + 1
+    """Differing places that a pair at the threshold exceeds less than once in 300,000 times.
+
+    This takes the places as independent; those of one SuperMinHash signature differ less from their mean.
+    """
+    places, p = LENGTH * SKETCHES, (1 - threshold) * 15 / 16
+    return int(places * p + 4.5 * (places * p * (1 - p)) ** 0.5) + 1
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -144,9 +158,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Rows with equal sets are first reduced to one by a digest of the set, so a group of exact
     copies costs one row a task. Then each set that shares bands with others is compared with one
-    pivot a round, the one it shares most bands with; after the rounds only pairs of different
-    components in one band are left, and all of those are compared, unless sketches of the
-    signatures rule them out. No pair that a band brings together goes unchecked.
+    pivots of these bands, the ones it shares most bands with; after two rounds only pairs of different
+    components in one band are left, and all of those are compared, once each, unless sketches of
+    longer signatures rule them out. No pair that a band brings together goes unchecked.
     """
     spark = docs.sparkSession
     threshold = percent / 100
@@ -156,7 +170,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     nodes = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     sets = nodes.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     sets = stored(spark, sets)
     banded = sets.select(F.explode("bands").alias("key"), "rep")
     shared = banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")) \
@@ -164,7 +178,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     shared = stored(spark, banded.join(shared, "key", "left_semi").distinct())
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     candidates = stored(spark, source.join(wanted, "doc_id", "left_semi"))
-    sketch = sets.join(wanted.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "sketch")
 
     # Rows of one doc_id with different sets belong together.
     member = nodes.select("doc_id", "digest").join(sets.select("digest", "rep"), "digest").select("doc_id", "rep")
@@ -188,22 +201,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return here.join(several, "key", "left_semi")
 
     roots = components(links)
-    for turn in range(PIVOT_ROUNDS):
-        rows_ = stored(spark, mixed(roots))
-        pivot = rows_.groupBy("key").agg(
+    for turn, most in enumerate(PIVOTS):
+        rest = stored(spark, mixed(roots))
+        pivot = rest.groupBy("key").agg(
             F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("pivot"),
                            F.col("root").alias("pivot_root"))).alias("p")).select("key", "p.*")
-        votes = rows_.join(pivot, "key").filter("root <> pivot_root").groupBy("rep", "pivot") \
+        votes = rest.join(pivot, "key").filter("root <> pivot_root").groupBy("rep", "pivot") \
             .agg(F.count("*").alias("n"))
-        pairs = votes.groupBy("rep").agg(F.max(F.struct("n", "pivot")).alias("v")) \
-            .select(F.col("rep").alias("a"), F.col("v.pivot").alias("b"))
+        # A set has one pivot a band at most, so the lists are short.
+        best = F.slice(F.sort_array(F.collect_list(F.struct("n", "pivot")), asc=False), 1, most)
+        pairs = votes.groupBy("rep").agg(best.alias("v")) \
+            .select(F.col("rep").alias("a"), F.explode("v.pivot").alias("b"))
         links = stored(spark, links.union(confirmed(pairs)))
         roots = stored(spark, components(links))
-    rows_ = mixed(roots).join(sketch, "rep")
-    left = rows_.select("key", F.col("rep").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("sa"))
-    right = rows_.select("key", F.col("rep").alias("b"), F.col("root").alias("rb"), F.col("sketch").alias("sb"))
-    close = (F.col("ra") < F.col("rb")) & (_distance("sa", "sb") <= sketch_limit(threshold))
-    pairs = left.join(right, (left["key"] == right["key"]) & close).select("a", "b").distinct()
+
+    rest = stored(spark, mixed(roots))
+    texts = candidates.withColumnRenamed("doc_id", "rep").join(rest.select("rep").distinct(), "rep", "left_semi")
+    sketch = texts.mapInArrow(partial(_sketch, words=words), "rep BIGINT, sketch ARRAY<BIGINT>")
+    bands = sets.join(rest.select("rep").distinct(), "rep", "left_semi").select("rep", "bands")
+    rest = stored(spark, rest.join(sketch.join(bands, "rep"), "rep"))
+    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "root", "sketch", "bands")])
+                   for side in "ab")
+    once = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
+    close = (F.col("root_a") < F.col("root_b")) & (_distance("sketch_a", "sketch_b") <= sketch_limit(threshold)) & once
+    pairs = left.join(right, (left["key"] == right["key"]) & close) \
+        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     links = stored(spark, links.union(confirmed(pairs)))
     roots = stored(spark, components(links))
 
