@@ -21,11 +21,15 @@ from sluiceway.llm.components import stored
 
 NEIGHBOURS = 20
 #: Projections, and the share of them that a vector must collide in to be verified.
-HASHES, COLLIDING = 96, 0.5
+HASHES, COLLIDING = 128, 0.68
 #: Vectors of a block, queries answered together.
 BLOCK, QUERY_BLOCK = 16_384, 512
-#: The first window in standard deviations of a projection, its growth, and how many must collide.
-FIRST_WINDOW, GROWTH, ENOUGH = 0.6, 1.15, 400
+#: The first half window, in lengths of a vector, and its growth.
+FIRST_WINDOW, GROWTH = 1.0, 1.06
+#: Queries of a block that find out where the others' windows begin.
+PROBED = 12
+#: How many must collide for a window to do: a share of the block, and a least number.
+VERIFIED, LEAST_VERIFIED = 0.12, 200
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -65,9 +69,13 @@ class Block:
         # A query's length changes no order; it is given the common one.
         at = np.column_stack([query * (self.norm / size), np.zeros(len(query))]) @ self.lines
         n, out = len(self.vectors), [np.zeros(0, dtype=np.int64)] * len(query)
+        enough = min(n, max(LEAST_VERIFIED, int(VERIFIED * n)))
         least, kind = int(np.ceil(COLLIDING * HASHES)), self.place.dtype.type
-        width, left = FIRST_WINDOW * self.norm, np.arange(len(query))
-        while len(left):
+        width, left, rest = FIRST_WINDOW * self.norm, np.arange(len(query))[:PROBED], np.arange(len(query))[PROBED:]
+        did = []        # windows that did for the first queries: the others begin with a small one of these
+        while len(left) or len(rest):
+            if not len(left):
+                left, rest, width = rest, rest[:0], float(np.quantile(did, 0.25))
             # The windows of all queries that still look for vectors, array by array.
             lo = np.stack([np.searchsorted(line, at[left, h] - width) for h, line in enumerate(self.sorted)])
             hi = np.stack([np.searchsorted(line, at[left, h] + width) for h, line in enumerate(self.sorted)])
@@ -75,7 +83,8 @@ class Block:
             for k, q in enumerate(left):
                 inside = (self.place - lo[:, k:k + 1].astype(kind)) < (hi - lo)[:, k:k + 1].astype(kind)
                 found = np.flatnonzero(np.add.reduce(inside, axis=0, dtype=np.uint8) >= least)
-                if len(found) >= min(ENOUGH, n) or (hi - lo)[:, k].min() >= n:
+                if len(found) >= enough or (hi - lo)[:, k].min() >= n:
+                    did.append(width)
                     out[q] = found if (hi - lo)[:, k].min() < n else np.arange(n)
                 else:
                     more.append(q)
