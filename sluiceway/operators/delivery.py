@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
 from sluiceway.functions.packing import hex_bytes, pack_str
 from sluiceway.functions.times import instant_text
+from sluiceway.session import shared_folder
 
 KEYS = ["conn_id", "frame_no"]
 
@@ -35,20 +37,27 @@ def dedupe_redelivery(requests: DataFrame, within: str = "10 minutes") -> DataFr
     """Keep one request of those with the same chunk; without a chunk all are kept.
 
     Batch keeps the earliest arrival (then the lowest `conn_id`, `frame_no`) of the whole
-    table: the winner of each chunk is found from three narrow columns with a partial
-    aggregate, so a chunk repeated in a third of all rows costs no single task anything.
-    A stream keeps the first it sees and forgets a chunk after ``within``.
+    table; of a request recorded twice one row stays, also without a chunk. Each task first
+    reduces its own rows, so a chunk repeated in a third of all rows costs no single task anything.
+    A stream keeps the first it sees of each chunk and forgets the chunk ``within`` of the clock after
+    that; no row is ever too late, and rows without a chunk need no state.
     """
     if requests.isStreaming:
-        key = F.coalesce(
-            F.concat(F.lit("c:"), F.col("chunk")), F.concat_ws(":", F.lit("f"), *KEYS))
-        return (
-            requests.withColumn("_key", key).withWatermark("recv_ts", within)
-            .dropDuplicatesWithinWatermark(["_key"]).drop("_key"))
-    chunked = requests.where("chunk IS NOT NULL")
-    first = chunked.groupBy("chunk").agg(
-        F.min(F.struct("recv_ts", *KEYS)).alias("first")).select("first.conn_id", "first.frame_no")
-    return chunked.join(first, KEYS, "left_semi").unionByName(requests.where("chunk IS NULL"))
+        chunked = requests.where("chunk IS NOT NULL").withColumn("_seen", F.current_timestamp())
+        first = chunked.withWatermark("_seen", within).dropDuplicatesWithinWatermark(["chunk"]).drop("_seen")
+        return first.unionByName(requests.where("chunk IS NULL"))
+    key = F.coalesce(F.concat(F.lit("c:"), F.col("chunk")), F.concat_ws(":", F.lit("f"), *KEYS))
+    first = F.min_by(F.struct(*requests.columns), F.struct("recv_ts", *KEYS))
+    return requests.groupBy(key.alias("_key")).agg(first.alias("_first")).select("_first.*")
+
+
+def run_folder(batch: DataFrame, path: str, epoch: int) -> str:
+    """Where an epoch of a stream writes: its query's own folder, the same after a restart.
+
+    A query on a new checkpoint has a new id, so it never writes over what another left.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{path}/run={query or uuid.uuid4().hex}/epoch={epoch}"
 
 
 def deliver(
@@ -62,22 +71,27 @@ def deliver(
 
     ``fn`` returns the keys (`conn_id`, `frame_no`) of failed requests, or None. If it
     raises, nothing of the batch is acknowledged and a stream delivers it again, so
-    delivery is at least once. Acks of an epoch replace those of an earlier try.
-    A stream gives its StreamingQuery, a batch the ack table.
+    delivery is at least once. Acks of an epoch replace those of an earlier try; each query and
+    each batch call has a folder of its own below ``ack_path``. A batch is decoded once: ``fn`` and
+    the acks read a table in the shared folder. A stream gives its StreamingQuery, a batch the ack table.
     """
     if not requests.isStreaming:
-        failed = fn(requests, 0)
-        made = acks(requests, failed)
-        if ack_path:
-            made.write.mode("overwrite").parquet(f"{ack_path}/epoch=0")
-        return made
+        spark = requests.sparkSession
+        folder = shared_folder(spark)
+        requests.write.parquet(f"{folder}/requests")
+        held = spark.read.schema(requests.schema).parquet(f"{folder}/requests")
+        failed = fn(held, 0)
+        made = acks(held, failed)
+        where = run_folder(held, ack_path or f"{folder}/acks", 0)
+        made.write.parquet(where)
+        return spark.read.schema(made.schema).parquet(where)
 
     def one_epoch(batch: DataFrame, epoch: int) -> None:
         batch.persist()     # decoded once, read by `fn` and by the acks
         try:
             failed = fn(batch, epoch)
             if ack_path:
-                acks(batch, failed).write.mode("overwrite").parquet(f"{ack_path}/epoch={epoch}")
+                acks(batch, failed).write.mode("overwrite").parquet(run_folder(batch, ack_path, epoch))
         finally:
             batch.unpersist()
 
@@ -99,13 +113,27 @@ def render_streams(requests: DataFrame) -> DataFrame:
         F.array_join(entries, ", "), F.lit("])")).alias("text"))
 
 
-def print_streams(requests: DataFrame, seconds: float = 60, rows: int = 20, checkpoint: str | None = None):
-    """Print the text form to the console; a stream is stopped after ``seconds``."""
-    text = render_streams(requests)
+def print_streams(requests: DataFrame, path: str | None = None, seconds: float = 60,
+                  checkpoint: str | None = None) -> None:
+    """The text form of every stream, one line each: to text files below ``path``, else to the console.
+
+    The console gets the lines one partition at a time, so the driver never holds all. A stream is stopped
+    after ``seconds``; each of its epochs has a folder of its own.
+    """
+    text = render_streams(requests).select("text")
+
+    def put(batch: DataFrame, folder: str | None) -> None:
+        if folder:
+            batch.write.mode("overwrite").text(folder)
+        else:
+            for row in batch.toLocalIterator():
+                print(row["text"])
+
     if not requests.isStreaming:
-        text.select("text").show(rows, truncate=False)
+        put(text, path)
         return
-    writer = text.writeStream.format("console").option("truncate", "false").option("numRows", rows)
+    writer = text.writeStream.foreachBatch(
+        lambda batch, epoch: put(batch, path and run_folder(batch, path, epoch)))
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     query = writer.start()

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import hashlib
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, BinaryType
+
+from sluiceway.functions.wire import value_key
+from sluiceway.session import shared_folder
 
 ENTRY_FIELDS = ("time_sec", "time_nanos", "event_ts", "record", "record_raw")
 VALUE = ["time_sec", "time_nanos", "record"]
@@ -13,49 +20,39 @@ def group_streams(
     keys: tuple[str, ...] = ("conn_id", "frame_no", "tag", "chunk"),
     order: str = "pos",
     fields: tuple[str, ...] = ENTRY_FIELDS,
-    entries_per_stream: int = 10_000,
-    unique_order: bool = True,
 ) -> DataFrame:
-    """Rebuild event streams from single events, entries in ``order``.
+    """Rebuild event streams from single events: one row per stream, entries in ``order``.
+
+    Entries of one position are ordered by their fields. A row holds its whole stream, as a request
+    does; for keys whose streams have no bound use `ranked_entries`.
+    """
+    rest = [f for f in fields if f != order]
+    entry = F.struct(order, *rest)
+    return (
+        events.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("sorted"))
+        .select(*keys, F.transform("sorted", lambda e: F.struct(*[e[f].alias(f) for f in fields])).alias("entries")))
+
 
-    A stream longer than ``entries_per_stream`` comes as several rows, to be read by
-    `part`, so that no task holds more entries of one stream than that. The bound needs
-    ``order`` to be unique within ``keys``, as it is for the entries of a request. With
-    ``unique_order=False`` parts that are crowded all the same are found by counting, when
-    this is called, and split further, to be read by `part`, then `piece`.
+def ranked_entries(events: DataFrame, keys: tuple[str, ...], order: str,
+                   fields: tuple[str, ...] = ENTRY_FIELDS) -> DataFrame:
+    """The entries of `group_streams` in long form, one row each, with their `rank` from 0.
+
+    Rows are sorted over all partitions, so a stream may span many tasks; what it has in earlier
+    partitions is added to the place in its own.
     """
-    n = int(entries_per_stream)
-    placed = events.select(
-        *keys, order, *[f for f in fields if f != order], F.expr(f"`{order}` div {n}").alias("part"))
-    entry = F.struct(order, *[f for f in fields if f != order])
-    pick = lambda e: F.struct(*[e[f].alias(f) for f in fields])
-    whole = lambda df: (
-        df.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(entry)).alias("sorted"))
-        .select(*keys, "part", F.transform("sorted", pick).alias("entries")))
-    if unique_order:
-        return whole(placed)
-
-    place = [*keys, "part"]
-    crowded = placed.groupBy(*place).count().where(F.col("count") > n)
-    if crowded.isEmpty():
-        return whole(placed).withColumn("piece", F.lit(0).cast("bigint"))
-    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in place]
-    calm = whole(placed.alias("p").join(crowded.alias("c"), same, "left_anti")).select(
-        *place, F.lit(0).cast("bigint").alias("piece"), "entries")
-    # Equal entries are counted, not copied, then dealt out in lots of at most n; the others
-    # of one position are spread by hash, which is free to order them.
-    lots = (
-        placed.groupBy(*placed.columns).agg(F.count("*").alias("copies")).alias("p")
-        .join(crowded.alias("c"), same)
-        .select("p.*", F.pmod(F.xxhash64(*fields), F.ceil(F.col("count") / n)).alias("spread"),
-                F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {n}"))).alias("lot"))
-        .withColumn("copies", F.least(F.lit(n), F.col("copies") - F.col("lot") * n).cast("int")))
-    pieces = lots.groupBy(*place, order, "spread", "lot").agg(
-        F.array_sort(F.collect_list(F.struct(entry.alias("e"), "copies"))).alias("sorted"))
-    offset = F.col(order) - F.col("part") * n
-    return calm.unionByName(pieces.select(
-        *place, ((offset * 2 ** 20 + F.col("spread")) * 2 ** 20 + F.col("lot")).cast("bigint").alias("piece"),
-        F.flatten(F.transform("sorted", lambda s: F.array_repeat(pick(s["e"]), s["copies"]))).alias("entries")))
+    rest = [f for f in fields if f != order]
+    folder = shared_folder(events.sparkSession)
+    place = [*keys, order, *rest]
+    (events.select(*place).repartitionByRange(*place).sortWithinPartitions(*place)
+     .withColumn("_row", F.monotonically_increasing_id()).write.parquet(folder))
+    rows = events.sparkSession.read.parquet(folder).withColumn("_part", F.shiftright("_row", 33))
+    counts = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_part").alias("_p"), "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = [rows[k].eqNullSafe(counts[f"_{k}"]) for k in keys]
+    return rows.join(counts, [rows["_part"] == counts["_p"], *same]).select(
+        *keys, (F.col("_before") + F.col("_row") - F.col("_first")).alias("rank"), *fields)
 
 
 def order_by_tag(df: DataFrame, java_order: bool = False, then: tuple[str, ...] | None = None) -> DataFrame:
@@ -69,19 +66,45 @@ def order_by_tag(df: DataFrame, java_order: bool = False, then: tuple[str, ...]
     return df.orderBy(tag, *then)
 
 
+def _key_of(raw: bytes | None) -> bytes | None:
+    return None if raw is None else hashlib.blake2b(value_key(bytes(raw)), digest_size=16).digest()
+
+
+@F.pandas_udf(BinaryType())
+def record_key(raw: pd.Series) -> pd.Series:
+    """Digest of a record as sent that tells types apart: 1 is not "1", bytes are not their base64."""
+    return raw.map(_key_of)
+
+
+@F.pandas_udf(ArrayType(BinaryType()))
+def _record_keys(raws: pd.Series) -> pd.Series:
+    return raws.map(lambda list_: None if list_ is None else [_key_of(raw) for raw in list_])
+
+
 def distinct_events(events: DataFrame) -> DataFrame:
-    """Events that differ in tag, time or record; key order inside a record is no difference."""
-    return events.select("tag", *VALUE).distinct()
+    """Events that differ in tag, time or record.
+
+    Where the bytes of the record are known (`record_raw`), types count and the order of keys does not;
+    elsewhere records are compared as text. `record` is the text of one of the equal records.
+    """
+    if "record_raw" not in events.columns:
+        return events.select("tag", *VALUE).distinct()
+    key = F.coalesce(record_key("record_raw"), F.encode("record", "utf-8"))
+    return events.groupBy("tag", "time_sec", "time_nanos", key.alias("_key")).agg(F.min("record").alias("record")).drop("_key")
 
 
 def _stream_values(requests: DataFrame, option: bool) -> DataFrame:
+    """Streams by value, with `_keys` of their records that tell types apart, null without bytes."""
     entries = F.transform("entries", lambda e: F.struct(*[e[f].alias(f) for f in VALUE]))
-    return requests.select("tag", entries.alias("entries"), *(("chunk", "compressed") if option else ()))
+    fields = {f.name for f in requests.schema["entries"].dataType.elementType.fields}
+    keys = _record_keys(F.transform("entries", lambda e: e["record_raw"])) if "record_raw" in fields else \
+        F.lit(None).cast("array<binary>")
+    return requests.select("tag", entries.alias("entries"), keys.alias("_keys"), *(("chunk", "compressed") if option else ()))
 
 
 def distinct_streams(requests: DataFrame, option: bool = False) -> DataFrame:
-    """Streams (with ``option``: whole requests) that differ in value."""
-    return _stream_values(requests, option).distinct()
+    """Streams (with ``option``: whole requests) that differ in value; types count as in `distinct_events`."""
+    return _stream_values(requests, option).distinct().drop("_keys")
 
 
 def stream_difference(left: DataFrame, right: DataFrame, option: bool = False) -> DataFrame:
@@ -91,7 +114,7 @@ def stream_difference(left: DataFrame, right: DataFrame, option: bool = False) -
         a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
         .groupBy(*a.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
         .select(F.when(F.col("_n") > 0, "left").otherwise("right").alias("side"),
-                *a.columns, F.abs("_n").alias("surplus")))
+                *[c for c in a.columns if c != "_n"], F.abs("_n").alias("surplus")).drop("_keys"))
 
 
 def same_streams(left: DataFrame, right: DataFrame, option: bool = False) -> bool:
@@ -118,16 +141,14 @@ _RUN = 4096     # windows one row of the coarse grid stands for
 
 
 def throughput(requests: DataFrame, every: str = "1 second", by_tag: bool = False,
-               fill: bool = True, watermark: str = "10 seconds") -> DataFrame:
+               fill: bool = True) -> DataFrame:
     """Entries per window of arrival time; with ``fill``, idle windows report 0.
 
     ``fill`` covers the span from the first to the last window (of each tag, by tag) and
-    is for batches; a stream gives updates per window and drops what is later than
-    ``watermark``.
+    is for batches; a stream gives updates per window, keeps all windows and drops nothing. For rates
+    of a long-lived stream use `throughput_to_table`, which keeps no state.
     """
     keys = ["tag"] if by_tag else []
-    if requests.isStreaming:
-        requests = requests.withWatermark("recv_ts", watermark)
     counts = (
         requests.groupBy(F.window("recv_ts", every), *keys)
         .agg(F.sum(F.size("entries")).cast("bigint").alias("entries"))

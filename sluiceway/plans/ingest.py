@@ -37,7 +37,7 @@ def ingest_stream(segments: DataFrame, path: str, checkpoint: str,
                   available_now: bool = False):
     """The same for a stream; the file sink commits each micro-batch exactly once.
 
-    ``available_now`` reads what is there and ends; it closes no idle connections.
+    ``available_now`` reads what is there and ends; it reports no idle connections.
     """
     idle = None if available_now else idle
     decoded = decode(reassemble_stream(segments, max_chunk_bytes, idle))

@@ -124,9 +124,7 @@ def order_streams(spark, sf_dir):
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("pos"),
         F.to_json(F.struct("l_quantity", "l_suppkey")).alias("record"),
         F.expr(f"({epoch_micros_sql('l_shipdate')}) div 1000000").alias("time_sec"), "l_partkey")
-    streams = group_streams(
-        lines, ("o_orderkey",), "pos", ("record", "time_sec", "l_partkey"),
-        unique_order=False)     # line numbers repeat within an order of these tables
+    streams = group_streams(lines, ("o_orderkey",), "pos", ("record", "time_sec", "l_partkey"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("tag"))
     return streams.select(
         "o_orderkey", F.size("entries").alias("entries"),
@@ -147,7 +145,7 @@ FROM l GROUP BY o_orderkey, tag"""
 def conversation_streams(spark, sf_dir):
     """Each conversation rebuilt from its turns; whole texts, in turn order."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    streams = group_streams(turns, ("conv_id",), "turn", ("role", "text"), unique_order=False)
+    streams = group_streams(turns, ("conv_id",), "turn", ("role", "text"))
     return streams.select(
         "conv_id", F.size("entries").alias("entries"),
         F.md5(F.array_join(F.transform("entries", lambda e: F.concat(e["role"], F.lit(":"), e["text"])), "|")

@@ -59,7 +59,7 @@ def shared_folder(spark: SparkSession) -> str:
     global _local_folder
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         if _local_folder is None:
             _local_folder = tempfile.mkdtemp(prefix="sluiceway-")

@@ -56,10 +56,11 @@ def write_events(events: DataFrame, path: str, mode: str = "append",
 
 
 def epoch_sink(path: str):
-    """A `deliver` function: each epoch's events below their own folder, replaced on replay."""
+    """A `deliver` function: each epoch's events below their own folder of its query, replaced on replay."""
+    from sluiceway.operators.delivery import run_folder
     from sluiceway.operators.requests import explode_events
 
     def write(batch: DataFrame, epoch: int) -> None:
-        explode_events(batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        explode_events(batch).write.mode("overwrite").parquet(run_folder(batch, path, epoch))
 
     return write

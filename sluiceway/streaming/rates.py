@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sluiceway.operators.delivery import run_folder
 from sluiceway.operators.streams import throughput
 
 
 def throughput_to_table(requests: DataFrame, path: str, checkpoint: str, every: str = "1 second",
-                        by_tag: bool = False, watermark: str = "10 seconds",
-                        available_now: bool = False):
-    """Write each micro-batch's changed windows below its own folder, replaced on replay."""
-    rates = throughput(requests, every, by_tag, fill=False, watermark=watermark)
+                        by_tag: bool = False, available_now: bool = False):
+    """Write each micro-batch's counts per window below its own folder, replaced on replay.
 
+    Counts of a window add up over the folders, so an entry counts however late it comes and the query
+    keeps no state.
+    """
     def keep(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        throughput(batch, every, by_tag, fill=False).write.mode("overwrite").parquet(run_folder(batch, path, epoch))
 
-    writer = rates.writeStream.outputMode("update").foreachBatch(keep).option(
-        "checkpointLocation", checkpoint)
+    writer = requests.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
 def latest_rates(spark: SparkSession, path: str) -> DataFrame:
-    """The last state of each window."""
-    changes = spark.read.parquet(path)
-    keys = [c for c in ("window_start", "tag") if c in changes.columns]
-    return changes.groupBy(*keys).agg(F.max_by("entries", "epoch").alias("entries"))
+    """The counts of each window so far."""
+    counts = spark.read.parquet(path)
+    keys = [c for c in ("window_start", "tag") if c in counts.columns]
+    return counts.groupBy(*keys).agg(F.sum("entries").alias("entries"))

@@ -26,9 +26,11 @@ def reassemble_stream(segments: DataFrame, max_chunk_bytes: int | None = None,
     """`reassemble_frames` for a stream of segments.
 
     Segments that come too early wait until the gap before them is filled. With ``idle``
-    a connection without news for that long is closed: waiting segments make it a
-    `SEQUENCE_GAP`, an unfinished value an `INCOMPLETE`. Such a query runs until it is
-    stopped, also under an `availableNow` trigger, because the clock alone may close
+    a connection without news for that long is reported as it stands: waiting segments as a
+    `SEQUENCE_GAP`, an unfinished value as an `INCOMPLETE`, with all their bytes. Nothing is
+    forgotten by that: when the connection goes on, it goes on where it was, and gives the
+    frames that the batch form gives. Such a query runs until it is
+    stopped, also under an `availableNow` trigger, because the clock alone may report
     connections. A micro-batch of one connection is read by one task, so bound it at the
     source (`maxBytesPerTrigger`).
     """
@@ -50,7 +52,7 @@ def _body(limit: int | None, timeout_ms: int | None):
         conn_id = int(key[0])
         values = state.get if state.exists else _FRESH
         if state.hasTimedOut:
-            state.remove()
+            state.update(values)    # with no timer: it is reported once, until more comes
             yield _table([r for r in [_closing(conn_id, values)] if r])
             return
         rows, values = _advance(conn_id, values, parts, limit)
@@ -68,8 +70,8 @@ def _table(rows) -> pd.DataFrame:
 
 
 def _closing(conn_id, values):
-    addr, _, frame_no, dead, last_us, held, _, _, _, wait_seq, wait_us, _ = values
-    held = bytes(held)
+    addr, _, frame_no, dead, last_us, held, _, _, _, wait_seq, wait_us, wait_payload = values
+    held = b"".join([bytes(held), *map(bytes, wait_payload)])
     if dead:
         return None
     if wait_seq:

@@ -1,6 +1,7 @@
 """Block framing against one plain pass over the bytes, without Spark."""
 
 import struct
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from sluiceway.functions import blocks
-from sluiceway.functions.wire import advance
+from sluiceway.functions.wire import advance, guess_boundary
 
 
 def pack(value) -> bytes:
@@ -212,3 +213,10 @@ def test_good_guesses_need_no_second_scan(monkeypatch):
 @pytest.mark.parametrize("raw,end", [(b"\x92\x01\xa1x", 4), (b"\x81\xa1a\xcd\x01\x02", 6), (b"\xc7\x02\x05ab", 5)])
 def test_advance(raw, end):
     assert advance(raw + b"\x00", 0, 1) == (end, 0)
+
+
+def test_guessing_stays_linear_on_hostile_bytes():
+    for raw in (b"\x92\xa0" * (2 << 20), b"\x93\xa1" * (2 << 20), b"\x92\xa0\x92" * (1 << 20)):
+        began = time.process_time()
+        guess_boundary(raw)
+        assert time.process_time() - began < 40

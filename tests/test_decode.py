@@ -135,12 +135,16 @@ def test_heartbeat_empty_requests_and_extra_elements():
     assert one(pack(["tag", 1, {}, {"chunk": "c"}, 5]))["chunk"] == "c"
 
 
-def test_depth_limit():
-    nested = pack(1)
-    for _ in range(600):
-        nested = b"\x91" + nested
+@pytest.mark.parametrize("depth", [150, 199, 200, 201, 600, 5000])
+def test_any_depth_is_decoded(depth):
+    nested, text = pack(1), "1"
+    for i in range(depth):
+        if i % 3 == 0:
+            nested, text = b"\x82" + pack("b") + nested + pack("a") + b"\x90", '{"a":[],"b":' + text + "}"
+        else:
+            nested, text = b"\x92" + nested + b"\x80", "[" + text + ",{}]"
     row = one(b"\x93" + pack("tag") + pack(1) + b"\x81" + pack("k") + nested)
-    assert (row["kind"], row["error_class"]) == ("reject", "CORRUPT_FRAME")
+    assert entries(row) == [(1, 0, '{"k":' + text + "}")]
 
 
 def simple(value):

@@ -14,11 +14,11 @@ from sluiceway.functions.times import instant_text, resolve_time
 from sluiceway.operators.admission import (
     AdmissionConfig, admit, check_pings, decode_pings, eligible_users, match_clients,
     parse_networks, pong_rows)
-from sluiceway.operators.delivery import acks, dedupe_redelivery, deliver, render_streams, unacked
+from sluiceway.operators.delivery import acks, dedupe_redelivery, deliver, print_streams, render_streams, unacked
 from sluiceway.operators.frames import frames_only, framing_rejects, reassemble_frames
 from sluiceway.operators.requests import decode, decode_requests, explode_events, rejects, requests_of
 from sluiceway.operators.streams import (
-    distinct_events, group_streams, order_by_tag, same_streams, tag_totals, throughput)
+    distinct_events, distinct_streams, group_streams, order_by_tag, ranked_entries, same_streams, tag_totals, throughput)
 from sluiceway.sources.tables import segments_from_messages
 from test_blocks import pack
 
@@ -113,11 +113,11 @@ def test_instant_text(spark):
 
 
 def test_render(spark):
-    frame = pack(["mofu", 1479042659, {"foo": "bar", "scores": [33, 4]}])
+    frame = pack(["web.access", 1700000000, {"path": "/a", "sizes": [7, 12]}])
     two = pack(["t", [[1, {}], [2, {}]]])
     text = render_streams(decode_requests(reassemble_frames(segments(spark, [frame + two]))))
     assert [r.text for r in text.orderBy("frame_no").collect()] == [
-        'EventStream(Tag(mofu), [EventEntry(2016-11-13T13:10:59Z,{"foo":"bar","scores":[33,4]})])',
+        'EventStream(Tag(web.access), [EventEntry(2023-11-14T22:13:20Z,{"path":"/a","sizes":[7,12]})])',
         "EventStream(Tag(t), [EventEntry(1970-01-01T00:00:01Z,{}), EventEntry(1970-01-01T00:00:02Z,{})])"]
 
 
@@ -172,26 +172,60 @@ def test_equal_events_whatever_the_key_order(spark):
     assert events.count() == 3 and distinct_events(events).count() == 1
 
 
-def test_long_streams_come_in_parts(spark):
-    events = spark.range(25).select(
+def test_events_of_other_types_differ(spark):
+    """Pairs with the same text, which are not equal."""
+    pairs = [({1: "a"}, {"1": "a"}), ({"k": b"a"}, {"k": "YQ=="}), ({"k": float("nan")}, {"k": "NaN"})]
+    frames = [pack(["t", 1, r]) for pair in pairs for r in pair] + [pack(["t", 1, {"a": 1, "b": 2}]), pack(["t", 1, {"b": 2, "a": 1}])]
+    both = decode_requests(reassemble_frames(segments(spark, frames, frames)))
+    assert distinct_events(explode_events(both)).count() == 7
+    assert distinct_streams(both).count() == 7
+    one, two = (both.where(F.col("frame_no") == n) for n in (0, 1))
+    assert same_streams(one, one) and not same_streams(one, two)
+
+
+def test_a_long_stream_is_one_row(spark):
+    events = spark.range(10_001).select(
         F.lit(1).alias("conn_id"), F.lit(1).alias("frame_no"), F.lit("t").alias("tag"), F.lit("c").alias("chunk"),
         F.col("id").alias("pos"), F.col("id").alias("time_sec"), F.lit(0).alias("time_nanos"),
         F.lit("{}").alias("record"))
-    fields = ("time_sec", "time_nanos", "record")
-    parts = group_streams(events, fields=fields, entries_per_stream=10).orderBy("part").collect()
-    assert [[e.time_sec for e in p.entries] for p in parts] == [list(range(10)), list(range(10, 20)), list(range(20, 25))]
+    rows = group_streams(events.repartition(5), fields=("time_sec", "time_nanos", "record")).collect()
+    assert len(rows) == 1 and [e.time_sec for e in rows[0].entries] == list(range(10_001))
 
 
-def test_crowded_positions_are_split_without_loss(spark):
+def test_ranked_entries_number_streams_over_partitions(spark):
     events = spark.range(1000).select(
-        F.lit("k").alias("key"), (F.col("id") % 3).alias("pos"), F.when(F.col("id") < 600, 0).otherwise(F.col("id")).alias("v"))
-    parts = group_streams(events, ("key",), "pos", ("v",), 50, unique_order=False).orderBy("part", "piece").collect()
-    assert sum(len(p.entries) for p in parts) == 1000
-    assert max(len(p.entries) for p in parts) <= 150
-    flat = [e.v for p in parts for e in p.entries]
-    assert sorted(flat) == sorted(0 if i < 600 else i for i in range(1000))
-    few = group_streams(events.where("v > 990"), ("key",), "pos", ("v",), 50, unique_order=False).collect()
-    assert len(few) == 1 and [e.v for e in few[0].entries] == sorted(range(991, 1000), key=lambda i: (i % 3, i))
+        F.when(F.col("id") % 10 == 0, None).when(F.col("id") < 900, "k").otherwise("z").alias("key"),
+        (F.col("id") % 3).alias("pos"), F.col("id").alias("v"))
+    rows = ranked_entries(events.repartition(7), ("key",), "pos", ("v",)).collect()
+    for key in (None, "k", "z"):
+        mine = sorted((r["rank"], r.v) for r in rows if r.key == key)
+        want = sorted((i for i in range(1000) if (None if i % 10 == 0 else "k" if i < 900 else "z") == key), key=lambda i: (i % 3, i))
+        assert mine == list(enumerate(want))
+
+
+def test_dedupe_of_repeats_and_reused_connections(spark):
+    once = requests(spark, (1, 0, 1, "t", "a", 1), (1, 1, 2, "t", "b", 1), (1, 2, 3, "t", None, 1),
+                    (2, 0, 5, "t", "b", 1), (1, 0, 9, "t", "b", 1), (1, 1, 9, "t", "a", 1))
+    keys = lambda df: sorted((r.chunk or "", r.conn_id, r.frame_no, r.recv_ts.second) for r in df.collect())
+    assert keys(dedupe_redelivery(once)) == [("", 1, 2, 3), ("a", 1, 0, 1), ("b", 1, 1, 2)]
+    assert keys(dedupe_redelivery(once.union(once))) == keys(dedupe_redelivery(once))
+
+
+def test_acks_of_two_deliveries_are_both_kept(spark, tmp_path):
+    path = str(tmp_path / "acks")
+    first = requests(spark, (1, 0, 1, "t", "a", 1), (1, 1, 2, "t", "b", 1))
+    second = requests(spark, (2, 0, 1, "t", "c", 1))
+    deliver(first, lambda batch, _: batch.where("chunk = 'b'").select("conn_id", "frame_no"), ack_path=path)
+    deliver(second, lambda batch, _: None, ack_path=path)
+    assert sorted(r.chunk for r in spark.read.parquet(path).collect()) == ["a", "c"]
+
+
+def test_every_stream_is_printed(spark, tmp_path, capsys):
+    df = requests(spark, *[(1, i, 1, "t", None, 1) for i in range(50)])
+    print_streams(df)
+    assert capsys.readouterr().out.count("EventStream(") == 50
+    print_streams(df, str(tmp_path / "text"))
+    assert spark.read.text(str(tmp_path / "text")).count() == 50
 
 
 def clients(spark, *rows):
@@ -200,15 +234,15 @@ def clients(spark, *rows):
 
 def test_networks(spark):
     table = clients(
-        spark, (0, None, "192.168.1.0/24", None, None), (1, None, "10.1.0.0/19", None, None), (2, None, "2001::/48", None, None),
-        (3, "10.1.10.1", "0.0.0.0/0", None, None), (4, None, "2001::1:::0/48", None, None), (5, None, "192.168.1.1.0/20", None, None),
-        (6, None, "192.168.1.0/xx", None, None), (7, None, "192.168.1.1", None, None), (8, None, "2001::1", None, None),
+        spark, (0, None, "172.20.5.0/24", None, None), (1, None, "10.64.0.0/19", None, None), (2, None, "2a02::/48", None, None),
+        (3, "10.64.10.1", "0.0.0.0/0", None, None), (4, None, "2a02::1:::0/48", None, None), (5, None, "172.20.5.1.0/20", None, None),
+        (6, None, "172.20.5.0/xx", None, None), (7, None, "172.20.5.1", None, None), (8, None, "2a02::1", None, None),
         (9, None, "10.0.0.0/33", None, None), (10, None, None, None, None), (11, "::ffff:9.9.9.9", None, None, None),
         (12, None, "8.0.0.0/0", None, None))
     assert [r.ord for r in parse_networks(table).where("spec_error IS NOT NULL").orderBy("ord").collect()] == [4, 5, 6, 7, 8, 9, 10]
-    want = {"192.168.1.1": 0, "192.168.1.254": 0, "192.168.2.1": 12, "10.1.10.1": 1, "10.1.20.1": 1, "10.1.31.254": 1,
-            "10.1.40.1": 12, "10.1.50.1": 12, "::10.1.10.1": None, "2001::1": 2, "2001::dead:beaf:1:1:1": 2,
-            "2001:1:0::1": None, "9.9.9.9": 11, "::ffff:10.1.10.1": 1, "junk": None, None: None}
+    want = {"172.20.5.1": 0, "172.20.5.254": 0, "172.20.6.1": 12, "10.64.10.1": 1, "10.64.20.1": 1, "10.64.31.254": 1,
+            "10.64.40.1": 12, "10.64.50.1": 12, "::10.64.10.1": None, "2a02::1": 2, "2a02::dead:beaf:1:1:1": 2,
+            "2a02:1:0::1": None, "9.9.9.9": 11, "::ffff:10.64.10.1": 1, "junk": None, None: None}
     df = spark.createDataFrame([(i, a) for i, a in enumerate(want)], "conn_id INT, remote_addr STRING")
     assert {r.remote_addr: r.client_ord for r in match_clients(df, table).collect()} == want
 

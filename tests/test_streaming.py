@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceway import schemas
-from sluiceway.operators.delivery import deliver, print_streams
+from sluiceway.operators.delivery import dedupe_redelivery, deliver, print_streams
 from sluiceway.operators.frames import reassemble_frames
 from sluiceway.operators.requests import decode_requests
 from sluiceway.plans.ingest import ingest_stream
 from sluiceway.sources.tables import epoch_sink, read_segments, write_events
+from sluiceway.streaming.rates import latest_rates, throughput_to_table
 from sluiceway.operators.requests import explode_events
 from sluiceway.streaming.reassemble import _FRESH, _advance, reassemble_stream
 from test_blocks import frames_of, pack, request, result, segment_rows, values
@@ -113,7 +114,8 @@ def test_streamed_sink_and_console(spark, tmp_path):
     write_events(explode_events(stream()), out, checkpoint=check).awaitTermination(120)
     row = spark.read.parquet(out).first()
     assert (str(row.event_date), row.tag, row.record) == ("2016-11-13", "mofu", '{"foo":"bar"}')
-    print_streams(stream(), seconds=5)      # the console is the JVM's
+    print_streams(stream(), str(tmp_path / "text"), seconds=8)
+    assert spark.read.text(str(tmp_path / "text")).count() == 1
     assert not spark.streams.active
 
 
@@ -126,3 +128,62 @@ def test_ingest_stream_equals_batch(spark, tmp_path):
     streamed = spark.read.parquet(out).where("kind = 'request'").select(*batch.columns)
     assert streamed.count() == 50 and streamed.exceptAll(batch).isEmpty()
     assert spark.read.parquet(out).where("kind = 'reject'").first().error_class == "CORRUPT_FRAME"
+
+
+def test_a_connection_goes_on_after_it_was_reported_idle(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    raw = pack("123456789")
+    put(spark, source, (1, 0, raw + raw[:4]), (2, 1, raw))
+    frames = reassemble_stream(read_segments(spark, source, stream=True), idle="1 second")
+    query = frames.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", check).trigger(processingTime="1 second").start()
+    rows = lambda kind: spark.read.schema(schemas.FRAMES).parquet(out).where(kind).count()
+
+    def wait(kind, n):
+        deadline = time.time() + 60
+        while rows(kind) < n and time.time() < deadline:
+            time.sleep(1)
+
+    try:
+        wait("error_class IS NOT NULL", 2)
+        put(spark, source, (1, 1, raw[4:]), (2, 0, raw))
+        wait("error_class IS NULL", 4)
+    finally:
+        query.stop()
+    batch = reassemble_frames(read_segments(spark, source)).where("error_class IS NULL").select("conn_id", "frame_no", "frame")
+    streamed = spark.read.parquet(out).where("error_class IS NULL").select(*batch.columns)
+    assert streamed.count() == 4 and streamed.exceptAll(batch).isEmpty()
+    gap = spark.read.parquet(out).where("error_class = 'SEQUENCE_GAP'").first()
+    assert bytes(gap.frame) == raw
+
+
+def late_orders(spark, path):
+    """Requests in four files, the newest first."""
+    schema = "conn_id LONG, frame_no LONG, recv_ts TIMESTAMP, tag STRING, chunk STRING, entries ARRAY<STRUCT<x: INT>>"
+    for part in range(4):
+        rows = [(1, 100 * (3 - part) + i, T0 + dt.timedelta(hours=100 * (3 - part) + i), "t", str(i) if i % 2 else None, [(1,)])
+                for i in range(100)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.1)
+    return lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_late_rows_are_kept(spark, tmp_path):
+    stream = late_orders(spark, str(tmp_path / "in"))
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    dedupe_redelivery(stream()).writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", check).trigger(availableNow=True).start().awaitTermination(120)
+    kept = spark.read.parquet(out)
+    assert kept.where("chunk IS NULL").count() == 200
+    assert kept.where("chunk IS NOT NULL").count() == 50 == kept.select("chunk").distinct().where("chunk IS NOT NULL").count()
+    rates, check = str(tmp_path / "rates"), str(tmp_path / "check2")
+    throughput_to_table(stream(), rates, check, "1 hour", available_now=True).awaitTermination(120)
+    assert sum(r.entries for r in latest_rates(spark, rates).collect()) == 400
+
+
+def test_a_fresh_checkpoint_keeps_old_acks(spark, tmp_path):
+    stream = late_orders(spark, str(tmp_path / "in"))
+    path = str(tmp_path / "acks")
+    for n in (1, 2):
+        deliver(stream(), lambda batch, _: None, str(tmp_path / f"check{n}"), path, available_now=True).awaitTermination(120)
+        assert spark.read.parquet(path).count() == 200 * n
