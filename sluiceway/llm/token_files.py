@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Sequence
 from functools import partial
 
@@ -26,9 +27,11 @@ END_ID = 2
 INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
 SCHEMA = "row BIGINT, doc_id BIGINT, tokens ARRAY<INT>"
-#: Words whose ids a worker remembers, and the length of the longest such word.
-KNOWN_WORDS = 250_000
+#: Words whose ids a worker remembers, twice as many at most, and the length of the longest such word.
+KNOWN_WORDS = 150_000
 KNOWN_LENGTH = 40
+# Signs that end what the tokenizer merges: behind a word they are encoded alone.
+_BEHIND = b".,!?;:%$#*&"
 
 _encoders: dict[str, tuple] = {}
 
@@ -40,35 +43,60 @@ def default_tokenizer() -> str:
 
 
 def _encoder(path: str):
-    """The tokenizer of a worker and the ids of words it has met, as bytes."""
+    """The tokenizer of a worker and the ids of words it has met, as bytes: the latest, and those before."""
     if path not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _encoders[path] = (Tokenizer.from_file(path), {})
+        _encoders[path] = (Tokenizer.from_file(path), [{}, {}])
     return _encoders[path]
 
 
 def encode(texts: list[str | None], path: str, end_id: int) -> list[bytes]:
     """The ids of each text as 32-bit little-endian integers, with `end_id` behind.
 
-    Spaces, tabs and line ends separate what this tokenizer encodes: it normalizes characters
-    within a word, drops white space and merges within words. So the words of many texts, most
-    of them met before, are encoded once each.
+    ASCII white space separates what this tokenizer encodes: it normalizes characters within a word,
+    drops white space and case, and merges within words. So the words of many texts, most of them met
+    before, are encoded once each. Texts with the marks of special tokens keep their case, which counts there.
     """
-    tokenizer, known = _encoder(path)
-    split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    fresh = list({w for parts in split for w in parts} - known.keys())
-    found = {}
+    tokenizer, memory = _encoder(path)
+    split = [(t.encode() if "<|" in t else t.encode().lower()).split() if t else [] for t in texts]
+    if len(memory[0]) > KNOWN_WORDS:
+        memory[:] = [{}, memory[0]]
+    latest, earlier = memory
+    found: dict[bytes, bytes] = {}
+    fresh, ended = set(), []
+    for word in {w for parts in split for w in parts}:
+        ids = latest.get(word)
+        if ids is None:
+            ids = earlier.get(word)
+            if ids is None:
+                bare = word.rstrip(_BEHIND)
+                if bare and len(bare) < len(word):
+                    ended.append((word, bare, word[len(bare):]))
+                    fresh.update(x for x in ended[-1][1:] if x not in latest and x not in earlier)
+                else:
+                    fresh.add(word)
+                continue
+        found[word] = ids
+    fresh = list(fresh)
     for at in range(0, len(fresh), 20_000):
         part = fresh[at:at + 20_000]
-        for word, result in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            found[word] = np.array(result.ids, dtype="<u4").tobytes()
-    known.update((w, i) for w, i in found.items() if len(w) <= KNOWN_LENGTH)
-    end = np.array([end_id], dtype="<u4").tobytes()
-    return [b"".join([found[w] if w in found else known[w] for w in parts]) + end for parts in split]
+        encoded = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+        for word, result in zip(part, encoded, strict=True):
+            found[word] = array("I", result.ids).tobytes()
+
+    def known(word: bytes) -> bytes:
+        for held in (found, latest, earlier):
+            if word in held:
+                return held[word]
+        raise KeyError(word)
+
+    for word, bare, behind in ended:
+        found[word] = known(bare) + known(behind)
+    latest.update((w, i) for w, i in found.items() if len(w) <= KNOWN_LENGTH)
+    end = array("I", [end_id]).tobytes()
+    return [b"".join([found[w] for w in parts]) + end for parts in split]
 
 
 def _encode_rows(batches, path: str, end_id: int):
