@@ -87,7 +87,6 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b") \

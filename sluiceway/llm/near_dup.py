@@ -28,7 +28,7 @@ MISS = 1e-6
 #: Rounds in which each set is compared with those it shares most bands with, and with how many.
 PIVOTS = (1, 4)
 #: Signatures that the sketches of the last round are made of.
-SKETCHES = 4
+SKETCHES = 8
 
 
 def band_rows(threshold: float, miss: float = MISS) -> int:
@@ -68,12 +68,11 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 
 
 def sketches(signature: np.ndarray) -> np.ndarray:
-    """Four bits of each place, 16 places to a 64-bit value: enough to rule out distant pairs."""
-    nibble = (tx.mix(signature) & np.uint64(15))
-    padded = np.zeros((len(signature), 128), dtype=np.uint64)
-    padded[:, :LENGTH] = nibble
-    shift = (np.arange(128, dtype=np.uint64) % np.uint64(16)) * np.uint64(4)
-    return np.bitwise_or.reduce((padded << shift).reshape(-1, 8, 16), axis=2).view(np.int64)
+    """One bit of each place, 64 places to a 64-bit value: enough to rule out distant pairs."""
+    bits = np.zeros((len(signature), 128), dtype=np.uint64)
+    bits[:, :LENGTH] = tx.mix(signature) & np.uint64(1)
+    shifted = bits << (np.arange(128, dtype=np.uint64) % np.uint64(64))
+    return np.bitwise_or.reduce(shifted.reshape(-1, 2, 64), axis=2).view(np.int64)
 
 
 _SIGNED = "doc_id BIGINT, n_shingles BIGINT, digest BINARY, bands ARRAY<BIGINT>"
@@ -128,13 +127,7 @@ def _close(batch: pa.RecordBatch, words: int, percent: int) -> list[bool]:
 
 def _distance(a: str, b: str):
     """Places in which the two sketches differ."""
-    total = F.lit(0)
-    for i in range(8 * SKETCHES):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
-        total = total + F.bit_count(x)
-    return total
+    return sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(2 * SKETCHES))
 
 
 def sketch_limit(threshold: float) -> int:
@@ -142,7 +135,7 @@ def sketch_limit(threshold: float) -> int:
 
     This takes the places as independent; those of one SuperMinHash signature differ less from their mean.
     """
-    places, p = LENGTH * SKETCHES, (1 - threshold) * 15 / 16
+    places, p = LENGTH * SKETCHES, (1 - threshold) / 2
     return int(places * p + 4.5 * (places * p * (1 - p)) ** 0.5) + 1
 
 
@@ -200,7 +193,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             .filter("lo < hi").select("key")
         return here.join(several, "key", "left_semi")
 
-    roots = components(links)
+    roots = links.select(F.col("a").alias("node"), F.col("b").alias("root")) if links.isEmpty() else components(links)
     for turn, most in enumerate(PIVOTS):
         rest = stored(spark, mixed(roots))
         pivot = rest.groupBy("key").agg(
