@@ -5,10 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from sluiceway.functions.packing import hex_bytes, pack_str
 from sluiceway.functions.times import instant_text
+from sluiceway.functions.wire import sent_text
 from sluiceway.session import shared_folder
 
 KEYS = ["conn_id", "frame_no"]
@@ -103,12 +106,21 @@ def deliver(
     return writer.start()
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _sent_texts(raws: pd.Series) -> pd.Series:
+    return raws.map(lambda list_: None if list_ is None else [
+        None if raw is None else sent_text(bytes(raw)) for raw in list_])
+
+
 def render_streams(requests: DataFrame) -> DataFrame:
-    """The text form of each request's event stream."""
-    entries = F.transform("entries", lambda e: F.concat(
+    """The text form of each request's event stream, keys in the order sent where the bytes are known."""
+    fields = {f.name for f in requests.schema["entries"].dataType.elementType.fields}
+    sent = _sent_texts(F.transform("entries", lambda e: e["record_raw"])) if "record_raw" in fields else \
+        F.transform("entries", lambda e: F.lit(None).cast("string"))
+    entries = F.zip_with("entries", "_sent", lambda e, text: F.concat(
         F.lit("EventEntry("), instant_text(e["time_sec"], e["time_nanos"]), F.lit(","),
-        e["record"], F.lit(")")))
-    return requests.select(*KEYS, F.concat(
+        F.coalesce(text, e["record"]), F.lit(")")))
+    return requests.withColumn("_sent", sent).select(*KEYS, F.concat(
         F.lit("EventStream(Tag("), F.col("tag"), F.lit("), ["),
         F.array_join(entries, ", "), F.lit("])")).alias("text"))
 

@@ -114,11 +114,11 @@ def test_instant_text(spark):
 
 def test_render(spark):
     frame = pack(["web.access", 1700000000, {"path": "/a", "sizes": [7, 12]}])
-    two = pack(["t", [[1, {}], [2, {}]]])
+    two = pack(["t", [[1, {"z": {"d": 1, "c": 2}, "a": 1}], [2, {}]]])
     text = render_streams(decode_requests(reassemble_frames(segments(spark, [frame + two]))))
     assert [r.text for r in text.orderBy("frame_no").collect()] == [
         'EventStream(Tag(web.access), [EventEntry(2023-11-14T22:13:20Z,{"path":"/a","sizes":[7,12]})])',
-        "EventStream(Tag(t), [EventEntry(1970-01-01T00:00:01Z,{}), EventEntry(1970-01-01T00:00:02Z,{})])"]
+        "EventStream(Tag(t), [EventEntry(1970-01-01T00:00:01Z,{\"z\":{\"d\":1,\"c\":2},\"a\":1}), EventEntry(1970-01-01T00:00:02Z,{})])"]
 
 
 def requests(spark, *rows):
