@@ -152,8 +152,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Rows with equal sets are first reduced to one by a digest of the set, so a group of exact
     copies costs one row a task. Then each set that shares bands with others is compared with one
     pivots of these bands, the ones it shares most bands with; after two rounds only pairs of different
-    components in one band are left, and all of those are compared, once each, unless sketches of
-    longer signatures rule them out. No pair that a band brings together goes unchecked.
+    components in one band are left, and all of those are compared, once each, the nearest first, unless
+    sketches of longer signatures rule them out. No pair that a band brings together goes unchecked.
     """
     spark = docs.sparkSession
     threshold = percent / 100
@@ -217,9 +217,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                    for side in "ab")
     once = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
     close = (F.col("root_a") < F.col("root_b")) & (_distance("sketch_a", "sketch_b") <= sketch_limit(threshold)) & once
-    pairs = left.join(right, (left["key"] == right["key"]) & close) \
-        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    links = stored(spark, links.union(confirmed(pairs)))
+    pairs = stored(spark, left.join(right, (left["key"] == right["key"]) & close).select(
+        F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), _distance("sketch_a", "sketch_b").alias("d")))
+    # First the nearest of each set, which joins most components that belong together; then what is left.
+    nearest = pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b")).union(
+        pairs.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")).distinct()
+    links = stored(spark, links.union(confirmed(nearest)))
+    roots = stored(spark, components(links))
+    root_of = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
+    apart = pairs.join(root_of[0], "a", "left").join(root_of[1], "b", "left") \
+        .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    links = stored(spark, links.union(confirmed(apart)))
     roots = stored(spark, components(links))
 
     final = member.groupBy("doc_id").agg(F.min("rep").alias("rep")) \
