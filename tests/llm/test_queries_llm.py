@@ -33,7 +33,8 @@ def test_pipeline(spark, tmp_path):
         out.write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
         counts.append(docs.count())
-    assert counts[0] > counts[1] > counts[2] >= counts[3] and counts[4] == counts[5] > 0
+    # The few labels of the smallest tables show no toxic word beyond chance; test_toxicity has more.
+    assert counts[0] >= counts[1] > counts[2] >= counts[3] and counts[4] == counts[5] > 0
     rows = docs.orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == sorted(r["doc_id"] for r in rows)
     assert rows[-1]["start"] + rows[-1]["n_tokens"] == docs.agg(F.sum("n_tokens")).first()[0]
