@@ -12,7 +12,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Sequence
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ SCHEMA = "row BIGINT, doc_id BIGINT, tokens ARRAY<INT>"
 #: Words whose ids a worker remembers, twice as many at most, and the length of the longest such word.
 KNOWN_WORDS = 150_000
 KNOWN_LENGTH = 40
-# Signs that end what the tokenizer merges: behind a word they are encoded alone.
+# Signs that are encoded alone where they stand behind a letter or digit; behind other signs they belong to one piece with these.
 _BEHIND = b".,!?;:%$#*&"
 
 _encoders: dict[str, tuple] = {}
@@ -52,12 +52,20 @@ def _encoder(path: str):
     return _encoders[path]
 
 
+@cache
+def _ends_piece(path: str, last: str) -> bool:
+    """Whether the tokenizer parts a sign from the character `last` in front of it, as it does behind letters and digits."""
+    tokenizer = _encoder(path)[0]
+    pieces = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(last + "."))
+    return len(pieces) > 1 and pieces[-1][0] == "."
+
+
 def encode(texts: list[str | None], path: str, end_id: int) -> list[bytes]:
     """The ids of each text as 32-bit little-endian integers, with `end_id` behind.
 
     ASCII white space separates what this tokenizer encodes: it normalizes characters within a word,
     drops white space and case, and merges within words. So the words of many texts, most of them met
-    before, are encoded once each. Texts with the marks of special tokens keep their case, which counts there.
+    before, are encoded once each, and end signs apart from a letter or digit. Texts with the marks of special tokens keep their case, which counts there.
     """
     tokenizer, memory = _encoder(path)
     split = [(t.encode() if "<|" in t else t.encode().lower()).split() if t else [] for t in texts]
@@ -72,7 +80,7 @@ def encode(texts: list[str | None], path: str, end_id: int) -> list[bytes]:
             ids = earlier.get(word)
             if ids is None:
                 bare = word.rstrip(_BEHIND)
-                if bare and len(bare) < len(word):
+                if bare and len(bare) < len(word) and _ends_piece(path, bare.decode()[-1]):
                     ended.append((word, bare, word[len(bare):]))
                     fresh.update(x for x in ended[-1][1:] if x not in latest and x not in earlier)
                 else:

@@ -245,6 +245,23 @@ def test_tokens(spark, docs, tmp_path):
     assert token_files.token_table(docs.limit(0)).count() == 0
 
 
+def test_tokens_of_end_signs():
+    from tokenizers import Tokenizer
+
+    path = token_files.default_tokenizer()
+    tokenizer = Tokenizer.from_file(path)
+    rnd = random.Random(3)
+    fronts = ["", "(", '"', "don'", "x1", "é", "e\u0301", "İ", "日本", "²", "a\u200d", "<|endoftext|>", "foo's"]
+    words = ["(foo).", '"foo",', "foo]:", "foo/.", "foo_.", "don',", '"ab8c..."###']
+    words += [f + rnd.choice(["foo", "7", "É", ""]) + "".join(rnd.choice(".,!?;:%$#*&)\"]_'/|>-’") for _ in range(rnd.randint(1, 4)))
+              for f in fronts for _ in range(80)]
+    for _ in range(2):      # the second time from memory
+        for word, ids in zip(words, token_files.encode(words, path, 2), strict=True):
+            assert list(memoryview(ids).cast("I")) == tokenizer.encode(word, add_special_tokens=False).ids + [2], word
+    text = " ".join(words)
+    assert list(memoryview(token_files.encode([text], path, 2)[0]).cast("I")) == tokenizer.encode(text, add_special_tokens=False).ids + [2]
+
+
 def test_restoring():
     import numpy as np
 
