@@ -1,12 +1,16 @@
 """License notices by ordered signature rules, with DataFrame functions only.
 
-A rule has a label, a keyword, a regular expression and a priority. Texts without any word that all rules
-need are passed over; in the others only rules whose keyword occurs are tried. Of overlapping
+A rule has a label, keywords, a regular expression and a priority. Texts without any rule's keyword
+are passed over; in the others only rules whose keywords occur are tried. Of overlapping
 detections one inside another rule's interval goes if that rule comes before it.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +21,7 @@ _GAP = rf"[^{_IN}]+"
 _FRONT, _BACK = rf"(?<![{_IN}])", rf"(?![{_IN}])"
 BASE_PHRASES = {"mit": ("mit", "license"), "apache": ("apache", "license"), "gpl": ("general", "public", "license")}
 
-#: One of these is in every text that a rule can match.
-GATE = ("licen", "copyright", "rights reserved", "public domain", "spdx")
-
-# Names of licenses as they are written: label, identifier, keyword, pattern of the name.
+# Names of licenses as they are written: label, identifier, words that the name needs, pattern of the name.
 _V = r"(?:,?\s+version\s+|\s+v?\.?\s*|-)"
 NAMES = [
     ("apache-2.0", "apache-2\\.0", "apache", rf"apache(?:\s+software)?\s+licen[cs]e{_V}2(?:\.0)?"),
@@ -77,14 +78,14 @@ NAMES = [
     ("cc-by-nd", "cc-by-nd-[1-4]\\.\\d", "by-nd", r"cc[- ]by-nd(?:\s+[1-4]\.\d)?"),
     ("cc-by-sa", "cc-by-sa-[1-4]\\.\\d", "by-sa", r"cc[- ]by-sa(?:\s+[1-4]\.\d)?"),
     ("cc-by", "cc-by-[1-4]\\.\\d", "cc", r"cc[- ]by(?:\s+[1-4]\.\d)?"),
-    ("cc-by-nc", "cc-by-nc", "noncommercial", r"creative\s+commons\s+attribution[- ]non-?commercial(?:\s+[1-4]\.\d)?(?:\s+international)?(?:\s+licen[cs]e)?"),
-    ("cc-by-sa", "cc-by-sa", "sharealike", r"creative\s+commons\s+attribution[- ]share-?alike(?:\s+[1-4]\.\d)?(?:\s+international)?(?:\s+licen[cs]e)?"),
+    ("cc-by-nc", "cc-by-nc", "creative commons commercial", r"creative\s+commons\s+attribution[- ]non-?commercial(?:\s+[1-4]\.\d)?(?:\s+international)?(?:\s+licen[cs]e)?"),
+    ("cc-by-sa", "cc-by-sa", "creative commons alike", r"creative\s+commons\s+attribution[- ]share-?alike(?:\s+[1-4]\.\d)?(?:\s+international)?(?:\s+licen[cs]e)?"),
     ("cc-by", "cc-by", "creative commons", r"creative\s+commons\s+attribution(?:\s+[1-4]\.\d)?(?:\s+international)?(?:\s+licen[cs]e)?"),
 ]
-# How a name is used: rank, keyword of its own if any, pattern around the identifier or the name, score.
+# How a name is used: rank, word of its own if any, pattern around the identifier or the name, score.
 USES = [
     (0, "spdx", r"spdx-licen[cs]e-identifier:\s*(?:{id})(?![\w.-])", 1.0),
-    (1, "licensed", r"(?:dual[- ])?licen[cs]ed\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{name})\b", 0.95),
+    (1, "licen", r"(?:dual[- ])?licen[cs]ed\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{name})\b", 0.95),
     (2, "under", r"(?:released|distributed|published|available|provided|redistribut\w+)(?:\s+\w+){{0,3}}?\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{name})\b", 0.9),
     (3, "", r"\b(?:{name})\b", 0.7),
 ]
@@ -102,13 +103,21 @@ def rules() -> list[tuple[str, tuple[str, ...], str, int, float]]:
     out = []
     for rank, own, around, score in USES:
         for label, identifier, keyword, name in NAMES:
-            keys = (own,) if own == "spdx" else tuple(k for k in (keyword, own) if k)
+            needs = "licen" if "licen[cs]e" in re.sub(r"\(\?:[^()]*\)\?", "", name) else ""
+            keys = (own,) if own == "spdx" else tuple(dict.fromkeys(k for k in (*keyword.split(), own, needs) if k))
             out.append((label, keys, around.format(id=identifier, name=name), len(out), score))
     for label, keyword, pattern, score in OTHERS:
-        out.append((label, (keyword,), pattern, len(out), score))
+        out.append((label, tuple(keyword.split()), pattern, len(out), score))
     return out
 
 
+def gate() -> list[tuple[str, ...]]:
+    """All words of one of these are in every text that a rule can match: the rules' keywords, where no fewer will do."""
+    sets = sorted({("licen",) if "licen" in keys else keys for _, keys, _, _, _ in rules()})
+    implied = lambda these, by: by != these and all(any(b in t for t in these) for b in by)
+    return [these for these in sets if not any(implied(these, by) for by in sets)]
+
+
 def _rule_groups() -> Column:
     """The rules by their first keyword, as an array of literals."""
     groups: dict[str, list] = {}
@@ -176,14 +185,14 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     any_phrase = "(?:" + "|".join(_phrase(words) for words in BASE_PHRASES.values()) + ")"
     place = lambda before: F.when(F.col("n_base") > 0, F.regexp_count(
         F.regexp_extract("text", f"(?is)^({before}){any_phrase}", 1), F.lit(WORD)).cast("long"))
-    gate = F.lit(False)
-    for word in GATE:
-        gate = gate | F.contains(F.col("small"), F.lit(word))
+    gated = F.lit(False)
+    for words in gate():
+        gated = gated | reduce(and_, [F.contains(F.col("small"), F.lit(word)) for word in words])
     none = F.expr("cast(array() as array<struct<label:string,priority:int,score:double,start:int,stop:int>>)")
     rows = rows.select(
         "doc_id", "n_words", "n_base", place(".*?").alias("first_word"), place(".*").alias("last_word"),
         F.array_compact(F.array(*[F.when(F.col(f"n_{x}") > 0, F.lit(x)) for x in BASE_PHRASES])).alias("base_labels"),
-        F.when(gate, detections(F.col("small"))).otherwise(none).alias("found"))
+        F.when(gated, detections(F.col("small"))).otherwise(none).alias("found"))
     rows = rows.withColumn("notices", _outranked(F.col("found"))).drop("found")
     best = F.coalesce(F.array_max(F.transform("notices", lambda d: d["score"])), F.lit(0.0))
     return rows.withColumn("score", F.greatest(best, F.when(F.col("n_base") > 0, F.lit(0.5)).otherwise(0.0)))

@@ -127,6 +127,49 @@ def test_licenses(spark):
     assert licenses.license_table(frame.limit(0)).count() == 0
 
 
+def sampled(pattern, rnd):
+    """A text that the pattern matches, in small letters and ASCII."""
+    from re import _parser
+
+    spaces = (" ", "\n", "\t ", "  ")
+
+    def part(op, arg):
+        op = str(op)
+        if op == "LITERAL":
+            return chr(arg)
+        if op == "IN":
+            kind, value = rnd.choice(arg)
+            return {"CATEGORY_SPACE": rnd.choice(spaces), "CATEGORY_DIGIT": "1", "CATEGORY_WORD": "it"}[str(value)] if str(kind) == "CATEGORY" \
+                else chr(rnd.randint(*value)) if str(kind) == "RANGE" else chr(value)
+        if op == "BRANCH":
+            return all_of(rnd.choice(arg[1]))
+        if op == "SUBPATTERN":
+            return all_of(arg[-1])
+        if op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = arg
+            return "".join(all_of(inner) for _ in range(rnd.randint(low, min(high, low + 2))))
+        return ""       # places without width
+
+    def all_of(parts):
+        return "".join(part(*x) for x in parts)
+
+    return all_of(_parser.parse(pattern))
+
+
+def test_every_license_rule_by_its_own_words(spark):
+    rnd = random.Random(2)
+    rows = [(len(licenses.rules()) * n + i, sampled(rule[2], rnd), rule[0]) for n in range(5) for i, rule in enumerate(licenses.rules())]
+    plain = [("Released under CC-BY-SA 4.0", "cc-by-sa"), ("GPLv3", "gpl-abbreviated"), ("WTFPL", "wtfpl"), ("under 3-clause BSD", "bsd-3-clause"),
+             ("provided without warranty of any kind", "warranty-disclaimer"), ("Proprietary and confidential", "proprietary"),
+             ("the GNU General\nPublic License", "gpl"), ("licenced under CC0", "cc0-1.0"),
+             ("Creative Commons Attribution Non-Commercial 4.0", "cc-by-nc"), ("Creative\nCommons Attribution-Share-Alike", "cc-by-sa")]
+    rows += [(-1 - i, text, label) for i, (text, label) in enumerate(plain)]
+    got = {r["doc_id"]: r for r in licenses.license_table(spark.createDataFrame(rows, "doc_id LONG, text STRING, rule STRING")).collect()}
+    missed = [(text, label, got[i]["labels"]) for i, text, label in rows if label not in got[i]["labels"].split(",")]
+    assert not missed, missed[:20]
+    assert all(got[i]["score"] > 0 for i, _, _ in rows)
+
+
 def test_long_text_of_licenses(spark):
     text = " ".join(["word"] * 60_000 + ["MIT License."] * 200)
     row = licenses.license_table(spark.createDataFrame([(1, text)], "doc_id LONG, text STRING")).first()
