@@ -56,7 +56,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as raw transcripts, parsed again: the role of each turn and its canonical form."""
+    """Conversations as raw transcripts, parsed again: the turns found in them, their roles and canonical form."""
     raw = transcripts.raw_transcripts(_table(spark, sf_dir, "conversations"))
     model = transcripts.learn(raw)
     turns = transcripts.render_turns(transcripts.parse_transcripts(raw.drop("role"), model))

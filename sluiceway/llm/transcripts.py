@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.components import stored
@@ -166,14 +166,29 @@ _STRETCH = 4096
 
 
 def _stretches(batches):
-    """Lines with the stretch they belong to: neighbours of one conversation in one task."""
+    """Lines with the stretch they belong to: neighbours of one conversation in one task.
+
+    A task's first row, of place -2, has its first conversation; its last, of place -1, its last
+    conversation and whether that ends there in a blank line.
+    """
     from pyspark import TaskContext
 
     context = TaskContext.get()
     stretch, place, conv, blank = (context.partitionId() << 33 if context else 0), 0, object(), False
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32()))
+
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)],
+            ["conv", "turn", "line", "text", "stretch", "place", "marks"])
+
+    begun = False
     for batch in batches:
         out: list[tuple] = []
         for c, turn, line, text in zip(*(batch.column(n).to_pylist() for n in ("conv", "turn", "line", "text")), strict=True):
+            if not begun:
+                out.append((c, None, None, None, stretch, -2, None))
+                begun = True
             if c != conv or place >= _STRETCH:
                 blank = blank and c == conv
                 conv, place, stretch = c, 0, stretch + 1
@@ -182,10 +197,27 @@ def _stretches(batches):
                 continue
             out.append((c, turn, line, text, stretch, place, list(features(text, blank))))
             place, blank = place + 1, False
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)],
-            ["conv", "turn", "line", "text", "stretch", "place", "marks"])
+        yield batch_of(out)
+    if begun:
+        yield batch_of([(conv, None, None, None, stretch, -1, [int(blank)])])
+
+
+def _blank_between(lines: DataFrame) -> DataFrame:
+    """The lines of `_stretches`; a blank line that ends a task counts for the conversation's first line in the next.
+
+    Two rows a task reach the driver.
+    """
+    ends = sorted(lines.filter("place < 0").select("stretch", "place", "conv", F.col("marks")[0].alias("blank")).collect(),
+                  key=lambda r: (r["stretch"] >> 33, r["place"]))
+    after, last = [], None
+    for r in ends:
+        if r["place"] == -1:
+            last = r
+        elif last is not None and last["blank"] and last["conv"] == r["conv"]:
+            after.append((r["stretch"] >> 33 << 33) + 1)
+    marked = F.transform("marks", lambda x, k: F.when(k == 1, F.lit(1)).otherwise(x))
+    return lines.filter("place >= 0").withColumn(
+        "marks", F.when((F.col("place") == 0) & F.col("stretch").isin(after), marked).otherwise(F.col("marks")))
 
 
 def _emitted(table: pa.Table, model: Model) -> np.ndarray:
@@ -227,19 +259,20 @@ def _decode(lines: pa.Table, states: pa.Table, model: Model) -> pa.Table:
     return pa.table({"conv": lines.column("conv"), "turn": lines.column("turn"), "line": lines.column("line"),
                      "text": lines.column("text"), "stretch": lines.column("stretch"), "place": lines.column("place"),
                      "role": pa.array([ROLES[s // 2] for s in path], pa.string()),
-                     "begins": pa.array([s % 2 == 0 for s in path], pa.bool_())})
+                     "begins": pa.array([s % 2 == 0 for s in path], pa.bool_()),
+                     "begun": pa.array(np.cumsum([s % 2 == 0 for s in path], dtype=np.int64), pa.int64())})
 
 
 def parse_transcripts(transcripts: DataFrame, model: Model) -> DataFrame:
-    """(conv, turn, line, text, stretch, place, role, begins) of every line with text of `transcripts(conv_id, turn, text)`.
+    """(conv, turn, line, text, stretch, place, role, begins, begun) of every line with text of `transcripts(conv_id, turn, text)`.
 
     Rows of a conversation go by turn, null first, rows of one turn by line. `role` is that of the
-    best path, `begins` says that a turn begins here; stretch and place give the order. Conversations
+    best path, `begins` says that a turn begins here, `begun` how many have in the stretch so far; stretch and place give the order. Conversations
     without id are one; texts without words give no lines; other columns, a role among them, are not read.
     """
     spark = transcripts.sparkSession
     lines = number_lines(transcripts, "conv_id", "turn", "text").mapInArrow(_stretches, _LINES)
-    lines = stored(spark, lines)
+    lines = _blank_between(stored(spark, lines))
 
     def matrices_of(table):
         return _matrices(table, model)
@@ -251,7 +284,8 @@ def parse_transcripts(transcripts: DataFrame, model: Model) -> DataFrame:
         matrices_of, "conv STRING, stretch BIGINT, opening ARRAY<DOUBLE>, through ARRAY<DOUBLE>")
     states = matrices.groupBy("conv").applyInArrow(_fold, "stretch BIGINT, before INT, end INT")
     return lines.groupBy("stretch").cogroup(states.groupBy("stretch")).applyInArrow(
-        decoded, "conv STRING, turn BIGINT, line BIGINT, text STRING, stretch BIGINT, place INT, role STRING, begins BOOLEAN")
+        decoded, "conv STRING, turn BIGINT, line BIGINT, text STRING, stretch BIGINT, place INT, role STRING, begins BOOLEAN, "
+                 "begun BIGINT")
 
 
 def _strip(batches):
@@ -261,14 +295,19 @@ def _strip(batches):
 
 
 def render_turns(parsed: DataFrame) -> DataFrame:
-    """(conv, turn, role, text, rendered): each row of the transcript in the canonical form.
+    """(conv, turn, role, text, rendered): each turn that was found in the canonical form.
 
-    Markers are removed, the lines of a turn joined by line ends, and the turn put as
-    <|role|>, its text and <|end|> on lines of their own. A turn's role is that of its first line.
+    A turn goes from a line that begins one to the next such line of the conversation, whatever rows
+    the lines came in; turns are numbered from 0. Markers are removed, the lines joined by
+    line ends, and the turn put as <|role|>, its text and <|end|> on lines of their own.
     """
-    lines = parsed.mapInArrow(_strip, parsed.schema)
+    lines = stored(parsed.sparkSession, parsed.mapInArrow(_strip, parsed.schema))
+    counts = lines.groupBy("conv", "stretch").agg(F.max("begun").alias("n"))
+    before = Window.partitionBy("conv").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    numbered = lines.join(counts, "stretch").withColumn("turn", F.col("before") + F.col("begun") - 1)
     line = F.struct("stretch", "place", "role", "text")
-    turns = lines.groupBy("conv", "turn").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    turns = numbered.groupBy("conv", "turn").agg(F.sort_array(F.collect_list(line)).alias("lines"))
     turns = turns.select("conv", "turn", F.col("lines")[0]["role"].alias("role"),
                          F.array_join(F.filter(F.transform("lines", lambda x: x["text"]), lambda t: t != ""), "\n").alias("text"))
     return turns.withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>")))

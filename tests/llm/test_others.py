@@ -243,3 +243,22 @@ def test_odd_transcripts(spark):
     assert len(rows) == 4
     assert [r["role"] for r in sorted((r for r in rows if r["conv"] is None), key=lambda r: r["line"])] == ["user", "assistant"]
     assert transcripts.render_turns(transcripts.parse_transcripts(frame.limit(0), model)).count() == 0
+
+
+@pytest.mark.parametrize("stretch", [4096, 3])
+def test_turns_of_transcripts_in_one_row(spark, monkeypatch, stretch):
+    monkeypatch.setattr(transcripts, "_STRETCH", stretch)
+    rows = conversations()
+    frame = spark.createDataFrame(rows, "conv_id LONG, turn LONG, role STRING, text STRING, conv STRING")
+    raw = transcripts.raw_transcripts(frame)
+    model = transcripts.learn(raw)
+    whole = {}
+    for r in sorted(raw.collect(), key=lambda r: r["turn"]):
+        whole[r["conv_id"]] = whole.get(r["conv_id"], "") + r["text"] + "\n"
+    whole[900] = "User: hi\n\nBot: yes"
+    one = spark.createDataFrame([(c, 0, t) for c, t in whole.items()], "conv_id LONG, turn LONG, text STRING")
+    turns = {(int(r["conv"]), r["turn"]): r["rendered"] for r in
+             transcripts.render_turns(transcripts.parse_transcripts(one.repartition(5), model)).collect()}
+    assert turns[900, 0] == "<|user|>\nhi\n<|end|>" and turns[900, 1] == "<|assistant|>\nyes\n<|end|>"
+    assert len(turns) == len(rows) + 2
+    assert sum(turns[c, t] == f"<|{role}|>\n{text}\n<|end|>" for c, t, role, text, _ in rows) >= 0.95 * len(rows)
