@@ -42,8 +42,15 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9]{4})")
+_FOUR = re.compile(r" ?[A-Z0-9]{1,4}")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+# Characters of an account number by country, as registered.
+_IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+    "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+    "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -78,6 +85,37 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             at = text.find("@", at + 1)
 
 
+def _iban_ends(text: str, start: int) -> list[int]:
+    """Where an account number that begins at `start` may end: two to seven groups of four, then one to three characters or none."""
+    ends, at = [], start + 4
+    for groups in range(1, 9):
+        found = _FOUR.match(text, at)
+        if not found:
+            break
+        four, at = len(found[0].lstrip()) == 4, found.end()
+        behind = text[at:at + 1]
+        if (groups >= 2 + (not four)) and groups <= 7 + (not four) and not (behind.isascii() and behind.isalnum()):
+            ends.append(at)
+        if not four:
+            break
+    return ends
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers from left to right without overlap: of the country's length; of unknown countries the longest that passes."""
+    found = _IBAN.search(text)
+    while found:
+        start, done = found.span()
+        length = _IBAN_LENGTHS.get(text[start:start + 2])
+        for end in reversed(_iban_ends(text, start)):
+            code = text[start:end]
+            if (length is None or len(code) - code.count(" ") == length) and mod_97(code):
+                yield start, end
+                done = end
+                break
+        found = _IBAN.search(text, done)
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -101,7 +139,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
                 found.append(("card", m.start(), m.end()))
     if "+" in text:
         found += [("phone", m.start(), m.end()) for m in _PHONE.finditer(text) if 10 <= len(_digits(m[0])) <= 15]
-    found += [("iban", m.start(), m.end()) for m in _IBAN.finditer(text) if mod_97(m[0])]
+    found += [("iban", a, b) for a, b in _ibans(text)]
     found += [("ssn", m.start(), m.end()) for m in _SSN.finditer(text)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

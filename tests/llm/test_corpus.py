@@ -328,6 +328,17 @@ def test_pii_spans():
     assert mod_97("DE89 3704 0044 0532 0130 00") and not mod_97("DE89 3704 0044 0532 0130 01")
 
 
+def test_ibans_before_other_words():
+    for code in ("ES9121000418450200051332", "AT611904300234573201", "DE89370400440532013000", "NO9386011117947", "ES91 2100 0418 4502 0005 1332",
+                 "MT84MALT011000012345MTLCAST001S", "LC55HEMM000100010012001200023015", "GB82 WEST 1234 5698 7654 32"):
+        for behind in ("", ".", " BIC CAIXESBB", " BANK", " BANK 12", " I", ", NEXT", "\n"):
+            text = "IBAN " + code + behind
+            assert [s for s in spans(text) if s[0] == "iban"] == [("iban", 5, 5 + len(code))], text
+    assert [s[1:] for s in spans("AT611904300234573201 ES9121000418450200051332 BIC") if s[0] == "iban"] == [(0, 20), (21, 45)]
+    for text in ("ES9121000418450200051333 BIC", "ES9121000418450200051332X", "xES9121000418450200051332", "ES91 2100", "AT61190430023457320"):
+        assert not [s for s in spans(text) if s[0] == "iban"], text
+
+
 def test_pii(spark):
     rows = [(1, "é mail me: ann.b@x-y.example.com, host 10.0.0.1", "q"), (2, None, "q"), (3, "", "q"), (None, "call +44 20 7946 0958", "q"),
             (4, "my iban is DE89370400440532013000; ssn 078-05-1120 of social security", "q"), (4, "card 4242 4242 4242 4242", "q")]
