@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.operators.delivery import acks, dedupe_redelivery, deliver, render_streams, unacked
 from sluiceway.operators.streams import (
-    distinct_events, distinct_streams, group_streams, order_by_tag, stream_difference,
-    tag_totals, throughput)
+    distinct_events, distinct_streams, group_streams, order_by_tag, ranked_entries,
+    stream_difference, tag_totals, throughput)
 from sluiceway.operators.requests import explode_events
 from sluiceway.functions.times import event_ts
 from sluiceway.plans.traffic import epoch_micros, epoch_micros_sql, table
@@ -158,6 +158,38 @@ SELECT conv_id, CAST(count(*) AS INTEGER) AS entries,
 FROM conversations GROUP BY conv_id"""
 
 
+def order_entries(spark, sf_dir):
+    """The entries of `order_streams` in long form: an order may have any number of lines."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("pos"),
+        F.to_json(F.struct("l_quantity", "l_suppkey")).alias("record"),
+        epoch_micros("l_shipdate").alias("us"), "l_partkey")
+    return ranked_entries(lines, ("o_orderkey",), "pos", ("record", "us", "l_partkey"))
+
+
+ORDER_ENTRIES_SQL = """
+WITH l AS (
+  SELECT l_orderkey AS o_orderkey, l_linenumber AS pos, epoch_us(l_shipdate) AS us, l_partkey,
+    '{"l_quantity":' || CAST(l_quantity AS VARCHAR) || ',"l_suppkey":' || l_suppkey || '}' AS record
+  FROM lineitem)
+SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderkey
+    ORDER BY pos NULLS FIRST, record NULLS FIRST, us NULLS FIRST, l_partkey NULLS FIRST) - 1 AS rank,
+  record, us, l_partkey
+FROM l"""
+
+
+def conversation_entries(spark, sf_dir):
+    """The turns of `conversation_streams` in long form: a conversation may have any number of turns."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return ranked_entries(turns, ("conv_id",), "turn", ("role", "text"))
+
+
+CONVERSATION_ENTRIES_SQL = """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS rank, role, text
+FROM conversations"""
+
+
 def rendered(spark, sf_dir):
     return render_streams(event_requests(spark, sf_dir))
 
@@ -297,6 +329,8 @@ QUERIES = {
     "dedupe_redelivery": (redelivered, DEDUPE_SQL),
     "order_streams": (order_streams, ORDER_STREAMS_SQL),
     "conversation_streams": (conversation_streams, CONVERSATIONS_SQL),
+    "order_entries": (order_entries, ORDER_ENTRIES_SQL),
+    "conversation_entries": (conversation_entries, CONVERSATION_ENTRIES_SQL),
     "render_streams": (rendered, RENDER_SQL),
     "tag_totals": (totals, TOTALS_SQL),
     "throughput_fill": (throughput_fill, THROUGHPUT_SQL),

@@ -203,6 +203,34 @@ def test_ranked_entries_number_streams_over_partitions(spark):
         assert mine == list(enumerate(want))
 
 
+@pytest.mark.parametrize("name", ["conversation_entries", "order_entries"])
+def test_registered_long_form_spreads_one_hot_stream(spark, tmp_path, name):
+    from sluiceway.plans.catalog import QUERIES
+
+    row = F.col("id")
+    key = F.when(row % 4 == 0, row).otherwise(-1)
+    spark.range(4000).select(
+        key.alias("conv_id"), row.alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("t"), row).alias("text")
+    ).write.parquet(str(tmp_path / "conversations.parquet"))
+    spark.range(4000).select(
+        key.alias("l_orderkey"), row.alias("l_linenumber"), F.lit(1.0).alias("l_quantity"), row.alias("l_suppkey"),
+        row.alias("l_partkey"), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("l_shipdate")
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = QUERIES[name][0](spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) == 4000
+    hot = sorted((r for r in rows if r[0] == -1), key=lambda r: r["rank"])
+    assert [r["rank"] for r in hot] == list(range(3000))
+    want = [i for i in range(4000) if i % 4]
+    assert [r["text"] if name == "conversation_entries" else r["l_partkey"] for r in hot] == \
+        ([f"t{i}" for i in want] if name == "conversation_entries" else want)
+    tasks = [r["task"] for r in hot]
+    assert max(map(tasks.count, set(tasks))) < 1500
+
+
 def test_dedupe_of_repeats_and_reused_connections(spark):
     once = requests(spark, (1, 0, 1, "t", "a", 1), (1, 1, 2, "t", "b", 1), (1, 2, 3, "t", None, 1),
                     (2, 0, 5, "t", "b", 1), (1, 0, 9, "t", "b", 1), (1, 1, 9, "t", "a", 1))
