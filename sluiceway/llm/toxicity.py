@@ -26,8 +26,8 @@ from sluiceway.llm.components import free_name, stored
 
 #: Labelled rows that the lexicon is learnt from, at most; the rows with the smallest hashes of their id.
 TRAIN_ROWS = 40_000
-#: Part of the toxic training rows that an entry must be in, and the chance of a false entry.
-LEAST_SHARE, FALSE_ENTRIES = 0.004, 0.02
+#: The chance of a false entry.
+FALSE_ENTRIES = 0.02
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.7
 
@@ -153,14 +153,13 @@ def entries(words: set[str]) -> set[str]:
     return out
 
 
-def _count_entries(batches, model: np.ndarray, wanted: frozenset | None):
+def _count_entries(batches, model: np.ndarray):
     restore = Restorer(model)
     for whole in batches:
         for batch in tx.slices(whole, "text"):
             counts: Counter = Counter()
             for text in batch.column("text").to_pylist():
-                found = entries({restore.word(w) for w in restore.words(text)})
-                counts.update(found if wanted is None else found & wanted)
+                counts.update(entries({restore.word(w) for w in restore.words(text)}))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["entry", "n"])
 
@@ -181,21 +180,22 @@ def learn_lexicon(labelled: DataFrame, model: np.ndarray) -> tuple[dict[str, flo
     if not n1 or not n0:
         return {}, (n1 + 0.5) / (n1 + n0 + 1)
     rate = n1 / (n1 + n0)
-    count = lambda part, wanted: part.select("text").mapInArrow(
-        partial(_count_entries, model=model, wanted=wanted), "entry STRING, n BIGINT").groupBy("entry").agg(F.sum("n").alias("n"))
-    least = max(2, math.ceil(LEAST_SHARE * n1))
-    toxic = {r["entry"]: r["n"] for r in count(rows.filter("toxic = 1"), None).filter(F.col("n") >= least).collect()}
-    other = {r["entry"]: r["n"] for r in count(rows.filter("toxic = 0"), frozenset(toxic)).collect()}
-    limit = math.log(FALSE_ENTRIES / max(1, len(toxic)))
-
-    def luck(a: int, b: int) -> float:
-        """Log of Chernoff's bound of the chance that an entry without meaning has a toxic and b other documents."""
-        share = a / (a + b)
-        if share <= rate:
-            return 0.0
-        return -(a + b) * (share * math.log(share / rate) + (0 if b == 0 else (1 - share) * math.log((1 - share) / (1 - rate))))
-
-    lexicon = {e: (a + rate) / (a + other.get(e, 0) + 1) for e, a in toxic.items() if luck(a, other.get(e, 0)) < limit}
+    count = lambda part, n: part.select("text").mapInArrow(
+        partial(_count_entries, model=model), "entry STRING, n BIGINT").groupBy("entry").agg(F.sum("n").alias(n))
+    counted = count(rows.filter("toxic = 1"), "a").join(count(rows.filter("toxic = 0"), "b"), "entry", "left")
+    counted = stored(labelled.sparkSession, counted.select("entry", "a", F.coalesce("b", F.lit(0)).alias("b")))
+    a, b = F.col("a"), F.col("b")
+    # Entries in too few documents to pass even if all were toxic are no tests.
+    held = {r["n"]: r["count"] for r in counted.groupBy((a + b).alias("n")).count().collect()}
+    tests, least = sum(held.values()), 1
+    while tests and least * math.log(1 / rate) <= math.log(tests / FALSE_ENTRIES):
+        tests, least = tests - held.get(least, 0), least + 1
+    limit = math.log(FALSE_ENTRIES / max(1, tests))
+    # Log of Chernoff's bound of the chance that an entry without meaning has a toxic and b other documents.
+    share = a / (a + b)
+    luck = -(a + b) * (share * F.log(share / rate) + F.when(b == 0, 0.0).otherwise((1 - share) * F.log((1 - share) / (1 - rate))))
+    passed = counted.filter((a + b >= least) & (share > rate) & (luck < limit))
+    lexicon = {r["entry"]: (r["a"] + rate) / (r["a"] + r["b"] + 1) for r in passed.collect()}
     return lexicon, _rest(rows, model, lexicon, n1, n0)
 
 

@@ -318,6 +318,15 @@ def plain_spans(text):
     return sorted(out, key=lambda s: (s[1], ("email", "ip", "card", "phone").index(s[0])))
 
 
+def test_rare_entries_are_learnt(spark):
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(200)]
+    rows = [(i, " ".join([*rnd.choices(words, k=12), *(["zwrbqk"] if i < 8 else [])]), int(i < 2500)) for i in range(15000)]
+    frame = spark.createDataFrame(rows, "doc_id LONG, text STRING, toxic INT")
+    lexicon, _ = toxicity.learn_lexicon(frame, toxicity.character_model(frame))
+    assert "zwrbqk" in lexicon and not set(words) & set(lexicon)
+
+
 def test_pii_spans():
     rnd = random.Random(6)
     for alphabet in ("a.@b-% ", "0123456789. -+", "a1@.-+ ()é", "4242 -42"):
