@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import mixing, toxicity, transcripts
+from sluiceway.llm import mixing, spelling, toxicity, transcripts
 from sluiceway.llm.ann import nearest
 from sluiceway.llm.decontaminate import find_leaks
 from sluiceway.llm.html_text import extract_text
@@ -72,6 +72,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), spelling.DAMAGE)
+
+
 QUERIES = {
     "op1_decontaminate": (op1_decontaminate, None),
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
@@ -83,4 +87,5 @@ QUERIES = {
     "op8_transcripts": (op8_transcripts, None),
     "op9_token_files": (op9_token_files, None),
     "op10_near_duplicates": (op10_near_duplicates, None),
+    "op13_spelling_variants": (op13_spelling_variants, spelling.VARIANTS_SQL),
 }
