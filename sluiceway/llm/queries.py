@@ -12,7 +12,9 @@ from sluiceway.llm.html_text import extract_text
 from sluiceway.llm.licenses import license_table
 from sluiceway.llm.near_dup import near_duplicates
 from sluiceway.llm.pii import find_pii, pii_counts
+from sluiceway.llm.repair import REPAIR_SQL, repair_table
 from sluiceway.llm.token_files import token_table
+from sluiceway.llm.warc import WARC_SQL, warc_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +74,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op11_warc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_table(_table(spark, sf_dir, "pages"))
+
+
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_table(_table(spark, sf_dir, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), spelling.DAMAGE)
 
@@ -87,5 +97,7 @@ QUERIES = {
     "op8_transcripts": (op8_transcripts, None),
     "op9_token_files": (op9_token_files, None),
     "op10_near_duplicates": (op10_near_duplicates, None),
+    "op11_warc_files": (op11_warc_files, WARC_SQL),
+    "op12_repair_conversations": (op12_repair_conversations, REPAIR_SQL),
     "op13_spelling_variants": (op13_spelling_variants, spelling.VARIANTS_SQL),
 }
