@@ -224,7 +224,8 @@ def write_warc(pages: DataFrame, folder: str, least: int = LEAST_REVISIT, shard_
     total = ordered.agg(F.sum(F.col("size") + RECORD_BYTES)).first()[0] or 0
     shard_bytes = max(shard_bytes, -(-total // MOST_SHARDS))
     offsets = running_sum(ordered.select("row", "place", (F.col("size") + RECORD_BYTES).alias("counted")), "counted", "before")
-    borders = sorted(bytes(r[0]) for r in offsets.groupBy(F.floor(F.col("before") / shard_bytes)).agg(F.min("place")).collect())
+    starts = offsets.groupBy(F.floor(F.col("before") / shard_bytes)).agg(F.min("place").alias("start"))
+    borders = sorted(bytes(r["start"]) for r in starts.collect())
 
     large = ordered.filter(F.col("size") >= least).select("place", "url", F.substring("place", 10, 20).alias("digest"))
     shared = large.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("place", "url")).alias("to")).filter("n > 1")
