@@ -156,26 +156,44 @@ def _starts_like_ping() -> Column:
     return F.hex(F.substring("frame", 1, 14)).rlike(head)
 
 
-def decode_pings(frames: DataFrame, handshakes: DataFrame) -> Handshake:
-    """Split secured connections into their PING and what comes after it.
+def first_pings(frames: DataFrame, handshakes: DataFrame) -> DataFrame:
+    """The earliest PING of each secured connection, well-formed or not, with what it was greeted with.
 
-    The PING is the first frame of the connection that is one; frames before it are
-    rejected as `BAD_PING`. A PING with a field that is not text ends the connection: it
-    gets no PING and everything after it is rejected with it. ``handshakes`` lists the
-    secured connections and what each was greeted with.
+    `p` holds its fields; `p.ok` is false where one of them is not text. Only frames that start
+    like a PING are parsed; narrow partial aggregate.
     """
     good = frames.where("error_class IS NULL") if "error_class" in frames.columns else frames
-    secured = handshakes.select("conn_id")
     candidates = good.where(_starts_like_ping()).select("conn_id", "remote_addr", "frame_no", "frame")
     parsed = candidates.mapInArrow(parse_pings, PARSED_DDL)
-    # The earliest ping of a connection, well-formed or not, decides; narrow partial aggregate.
-    first = (
+    return (
         parsed.groupBy("conn_id").agg(F.min_by(
             F.struct(*[c for c in parsed.columns if c != "conn_id"]), "frame_no").alias("p"))
-        .join(handshakes, "conn_id"))
-    pings = first.where("p.ok").select(
+        .join(handshakes.select("conn_id", "nonce", "user_salt"), "conn_id"))
+
+
+def pings_of(first: DataFrame) -> DataFrame:
+    """The well-formed ones of `first_pings` as `check_pings` takes them."""
+    return first.where("p.ok").select(
         "conn_id", "p.remote_addr", "nonce", "user_salt", "p.client_hostname", "p.key_salt",
         "p.key_digest", "p.username", "p.password_digest")
+
+
+def bad_pings(frames: DataFrame) -> DataFrame:
+    return frames.select(
+        "conn_id", "frame_no", "recv_ts", F.lit("BAD_PING").alias("error_class"),
+        F.lit("not a valid PING").alias("detail"), "frame")
+
+
+def decode_pings(frames: DataFrame, handshakes: DataFrame) -> Handshake:
+    """Split secured connections into their PING and what comes after it.
+
+    The PING is the first frame of the connection that is one; frames before it are
+    rejected as `BAD_PING`. A PING with a field that is not text ends the connection: it
+    gets no PING and everything after it is rejected with it. ``handshakes`` lists the
+    secured connections and what each was greeted with.
+    """
+    secured = handshakes.select("conn_id")
+    first = first_pings(frames, handshakes)
     turn = secured.join(first.select(
         "conn_id", F.when(F.col("p.ok"), F.col("p.frame_no")).alias("ping_no")), "conn_id", "left")
     marked = spread_join(
@@ -183,12 +201,9 @@ def decode_pings(frames: DataFrame, handshakes: DataFrame) -> Handshake:
     open_ = F.col("_secured").isNull()
     before = F.col("ping_no").isNull() | (F.col("frame_no") < F.col("ping_no"))
     fault = F.col("error_class").isNotNull() if "error_class" in frames.columns else F.lit(False)
-    rejects = marked.where(~open_ & before & ~fault).select(
-        "conn_id", "frame_no", "recv_ts", F.lit("BAD_PING").alias("error_class"),
-        F.lit("not a valid PING").alias("detail"), "frame")
     rest = marked.where(
         open_ | fault | (F.col("frame_no") > F.col("ping_no"))).select(*frames.columns)
-    return Handshake(pings, rejects, rest)
+    return Handshake(pings_of(first), bad_pings(marked.where(~open_ & before & ~fault)), rest)
 
 
 def pong_rows(ping_results: DataFrame, pings: DataFrame, clients: DataFrame,

@@ -31,9 +31,23 @@ def acks(requests: DataFrame, failed: DataFrame | None = None) -> DataFrame:
         F.concat(hex_bytes("81"), pack_str(F.lit("ack")), pack_str("chunk")).alias("ack_bytes"))
 
 
-def unacked(requests: DataFrame, acked: DataFrame) -> DataFrame:
-    """Requests a sender would send again: they have a chunk and got no ack."""
-    return requests.where("chunk IS NOT NULL").join(acked.select(*KEYS), KEYS, "left_anti")
+def unacked(requests: DataFrame, acked: DataFrame, after: str = "10 minutes",
+            late: str = "1 hour") -> DataFrame:
+    """Requests a sender would send again: they have a chunk and got no ack.
+
+    A batch looks at all acks. On streams a request is unacked if no ack has an `acked_ts` from its `recv_ts`
+    to ``after`` later (both ends count); it is given once both streams have passed that time by ``late``. State holds the columns of ``requests`` for that long, so pass
+    keys alone where the entries lie in a table. What comes more than ``late`` behind the rest of its own
+    stream is taken as known: Spark no longer joins it.
+    """
+    if not requests.isStreaming:
+        return requests.where("chunk IS NOT NULL").join(acked.select(*KEYS), KEYS, "left_anti")
+    sent = requests.withWatermark("recv_ts", late).where("chunk IS NOT NULL")
+    got = acked.select(*[F.col(k).alias(f"_{k}") for k in KEYS], F.col("acked_ts").alias("_acked_ts")).withWatermark(
+        "_acked_ts", late)
+    fits = (F.col("_conn_id") == F.col("conn_id")) & (F.col("_frame_no") == F.col("frame_no")) & F.expr(
+        f"_acked_ts >= recv_ts AND _acked_ts <= recv_ts + INTERVAL {after}")
+    return sent.join(got, fits, "left_outer").where("_conn_id IS NULL").select(*requests.columns)
 
 
 def dedupe_redelivery(requests: DataFrame, within: str = "10 minutes") -> DataFrame:
@@ -54,13 +68,18 @@ def dedupe_redelivery(requests: DataFrame, within: str = "10 minutes") -> DataFr
     return requests.groupBy(key.alias("_key")).agg(first.alias("_first")).select("_first.*")
 
 
-def run_folder(batch: DataFrame, path: str, epoch: int) -> str:
-    """Where an epoch of a stream writes: its query's own folder, the same after a restart.
+def query_folder(batch: DataFrame, path: str) -> str:
+    """The folder of a stream's own query below ``path``, the same after a restart.
 
     A query on a new checkpoint has a new id, so it never writes over what another left.
     """
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return f"{path}/run={query or uuid.uuid4().hex}/epoch={epoch}"
+    return f"{path}/run={query or uuid.uuid4().hex}"
+
+
+def run_folder(batch: DataFrame, path: str, epoch: int) -> str:
+    """Where an epoch of a stream writes."""
+    return f"{query_folder(batch, path)}/epoch={epoch}"
 
 
 def deliver(
@@ -74,7 +93,7 @@ def deliver(
 
     ``fn`` returns the keys (`conn_id`, `frame_no`) of failed requests, or None. If it
     raises, nothing of the batch is acknowledged and a stream delivers it again, so
-    delivery is at least once. Acks of an epoch replace those of an earlier try; each query and
+    delivery is at least once. A stream's acks have the time they were made in `acked_ts`. Acks of an epoch replace those of an earlier try; each query and
     each batch call has a folder of its own below ``ack_path``. A batch is decoded once: ``fn`` and
     the acks read a table in the shared folder. A stream gives its StreamingQuery, a batch the ack table.
     """
@@ -94,7 +113,7 @@ def deliver(
         try:
             failed = fn(batch, epoch)
             if ack_path:
-                acks(batch, failed).write.mode("overwrite").parquet(run_folder(batch, ack_path, epoch))
+                acks(batch, failed).withColumn("acked_ts", F.current_timestamp()).write.mode("overwrite").parquet(run_folder(batch, ack_path, epoch))
         finally:
             batch.unpersist()
 

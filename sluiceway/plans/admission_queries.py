@@ -244,8 +244,8 @@ SELECT o_custkey AS conn_id, o_orderkey AS frame_no, o_orderstatus AS tag
 FROM orders JOIN customer ON c_custkey = o_custkey"""
 
 
-def _handshake(spark: SparkSession, sf_dir: str):
-    """Frames of customers' connections: noise, a PING, then their orders.
+def handshake_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Frames of customers' connections (noise, a PING, then their orders) and what the secured were greeted with.
 
     Every third connection is open and sends its orders only. Of the others, every fifth
     sends a nil and a number before the PING, every seventh none, and every eleventh one
@@ -272,7 +272,11 @@ def _handshake(spark: SparkSession, sf_dir: str):
         "conn_id", "remote_addr", "frame_no", F.timestamp_micros(F.lit(0)).alias("recv_ts"),
         F.octet_length("frame").cast("bigint").alias("size"), "frame",
         F.lit(None).cast("string").alias("error_class"), F.lit(None).cast("string").alias("detail"))
-    return decode_pings(frames, secured.select("conn_id", "nonce", "user_salt"))
+    return frames, secured.select("conn_id", "nonce", "user_salt")
+
+
+def _handshake(spark: SparkSession, sf_dir: str):
+    return decode_pings(*handshake_frames(spark, sf_dir))
 
 
 def decoded_pings(spark, sf_dir):
