@@ -33,7 +33,7 @@ FRAME_COLUMNS = pa.schema([
 ])
 
 SUMMARY_DDL = (
-    "conn_id BIGINT, remote_addr STRING, block BIGINT, segments BIGINT, size BIGINT, gap BOOLEAN, "
+    "conn_id BIGINT, remote_addr STRING, block BIGINT, first_seq BIGINT, segments BIGINT, size BIGINT, gap BOOLEAN, "
     "entry_need BIGINT, entry_skip BIGINT, entry_part BINARY, "
     "boundary BOOLEAN, head_size BIGINT, frames BIGINT, tail_size BIGINT, "
     "exit_need BIGINT, exit_skip BIGINT, exit_part BINARY, "
@@ -41,7 +41,8 @@ SUMMARY_DDL = (
     "first_us BIGINT, head_us BIGINT, tail_us BIGINT, last_us BIGINT, "
     "head BINARY, tail BINARY"
 )
-# What a block must continue, and whether the block is known not to do so.
+# What a block must continue, and whether the block is known not to do so. Without `need` it continues the
+# block before it, which is scanned first.
 DOUBT_DDL = "conn_id BIGINT, block BIGINT, need BIGINT, skip BIGINT, part BINARY, wrong BOOLEAN"
 # Where a block's own values start (-1: nowhere), the number of the first of them, and the
 # numbers of the values its head and tail belong to.
@@ -51,6 +52,15 @@ PLAN_DDL = (
 VALUE_DDL = (
     "conn_id BIGINT, remote_addr STRING, frame_no BIGINT, recv_us BIGINT, "
     "error_class STRING, detail STRING")
+# Both kinds in one table.
+FINAL_DDL = (
+    "kind STRING, conn_id BIGINT, block BIGINT, start BIGINT, base BIGINT, head_of BIGINT, tail_of BIGINT, "
+    "remote_addr STRING, frame_no BIGINT, recv_us BIGINT, error_class STRING, detail STRING")
+
+#: The most bytes of a value: more has no place in a row.
+ROW_BYTES = (1 << 31) - 64
+#: The most bytes of frames in one Arrow batch, whose offsets are of 32 bits.
+BATCH_BYTES = 1 << 26
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
@@ -67,6 +77,7 @@ class Block:
     conn_id: int
     remote_addr: str | None
     block: int
+    first_seq: int          # number of the first segment that belongs here
     control: tuple | None   # (a, b, bytes) of the control row that precedes the segments
     buf: bytes              # payload of the gap-free run of segments
     ends: np.ndarray        # end offset of each of those segments in `buf`
@@ -79,14 +90,18 @@ class Block:
         return int(self.us[np.searchsorted(self.ends, offset, side="right")])
 
 
-def read_blocks(batches: Iterator[pa.RecordBatch], block_segments: int) -> Iterator[Block]:
-    """Group rows sorted by (conn_id, block, seq) into blocks; rows may span batches."""
+def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """Group rows sorted by (conn_id, block, seq) into blocks; rows may span batches.
+
+    Block 0 begins with segment 0 of its connection, another one with whatever segment comes first.
+    """
     key, rows = None, []
 
     def build():
         control = next((r[2:5] for r in rows if r[1] < 0), None)
         seen = [r for r in rows if r[1] >= 0]
-        expected, kept = key[1] * block_segments, []
+        first = seen[0][1] if seen and key[1] else 0
+        expected, kept = first, []
         for row in seen:
             if row[1] == expected:
                 kept.append(row)
@@ -95,7 +110,7 @@ def read_blocks(batches: Iterator[pa.RecordBatch], block_segments: int) -> Itera
                 break
         payloads = [r[4] or b"" for r in kept]
         return Block(
-            key[0], next((r[0] for r in seen if r[0] is not None), None), key[1], control,
+            key[0], next((r[0] for r in seen if r[0] is not None), None), key[1], first, control,
             b"".join(payloads), np.cumsum([len(p) for p in payloads], dtype=np.int64),
             np.array([r[5] for r in kept], dtype=np.int64),
             seen[0][5] if seen else None, bool(seen) and seen[-1][1] >= expected,
@@ -135,6 +150,8 @@ def scan_values(buf: bytes, start: int, limit: int | None, resume=None) -> Scan:
     ``resume`` is the ``(pos, need)`` an earlier pass over the first value got to.
     """
     end, pos, bounds = len(buf), start, [start]
+    if limit is not None and end - start <= limit:
+        limit = None        # nothing here can exceed it
     at, need = resume or (start, 1)
     while pos < end:
         try:
@@ -169,13 +186,32 @@ def _rows(schema: pa.Schema, rows: list) -> pa.RecordBatch:
         [pa.array(list(c), type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _frame_batch(block: Block, scan: Scan, base: int) -> pa.RecordBatch:
-    """The complete values of a block, cut out of its bytes without copying each one."""
+def batch_ranges(bounds: np.ndarray, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of values of about ``most`` bytes together; a larger value has a run of its own."""
+    at, n = 0, len(bounds) - 1
+    while at < n:
+        to = int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1
+        to = min(max(to, at + 1), n)
+        yield at, to
+        at = to
+
+
+def _frame_batches(block: Block, scan: Scan, base: int) -> Iterator[pa.RecordBatch]:
+    """The complete values of a block, cut out of its bytes without copying each one.
+
+    Each batch's offsets count from its own first byte, so they stay small however large the block is.
+    """
     bounds = np.asarray(scan.bounds, dtype=np.int64)
+    for lo, hi in batch_ranges(bounds):
+        yield _frame_batch(block, bounds[lo:hi + 1], base + lo)
+
+
+def _frame_batch(block: Block, bounds: np.ndarray, base: int) -> pa.RecordBatch:
     n = len(bounds) - 1
-    offsets = bounds.astype(np.int32)
+    offsets = (bounds - bounds[0]).astype(np.int32)
+    part = memoryview(block.buf)[int(bounds[0]):int(bounds[-1])]
     frames = pa.Array.from_buffers(
-        pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(block.buf)])
+        pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(part)])
     us = block.us[np.searchsorted(block.ends, bounds[1:] - 1, side="right")]
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(n, block.conn_id), pa.int64()),
@@ -189,7 +225,7 @@ def _frame_batch(block: Block, scan: Scan, base: int) -> pa.RecordBatch:
     ], schema=FRAME_COLUMNS)
 
 
-def frame_blocks(block_segments: int, limit: int | None):
+def frame_blocks(limit: int | None):
     """mapInArrow body: blocks -> frames.
 
     A control row says where the first value of a block starts and which number it has;
@@ -197,18 +233,15 @@ def frame_blocks(block_segments: int, limit: int | None):
     """
 
     def run(batches):
-        for block in read_blocks(batches, block_segments):
+        for block in read_blocks(batches):
             if block.control is not None:
                 start, base, _ = block.control
                 if start < 0 or not len(block.us):
                     continue
-                scan = scan_values(block.buf, start, limit)
-                if len(scan.bounds) > 1:
-                    yield _frame_batch(block, scan, base)
+                yield from _frame_batches(block, scan_values(block.buf, start, limit), base)
                 continue
             scan = scan_values(block.buf, 0, limit)
-            if len(scan.bounds) > 1:
-                yield _frame_batch(block, scan, 0)
+            yield from _frame_batches(block, scan, 0)
             fault = _closing_fault(block, scan)
             if fault:
                 yield _rows(FRAME_COLUMNS, [fault])
@@ -236,12 +269,20 @@ def incomplete_detail(size):
     return f"{size} bytes of an unfinished value"
 
 
-def summarise_blocks(block_segments: int, limit: int | None):
-    """mapInArrow body: one row per block with its ends (head, tail) and its exit state."""
+def summarise_blocks(limit: int | None):
+    """mapInArrow body: one row per block with its ends (head, tail) and its exit state.
+
+    A block whose control row has no state goes on from the block before it in the same task.
+    """
 
     def run(batches):
-        for block in read_blocks(batches, block_segments):
-            yield _rows(SUMMARY, [_summary(block, limit)])
+        leave = None
+        for block in read_blocks(batches):
+            if block.control is not None and block.control[0] is None:
+                block.control = leave
+            row = _rows(SUMMARY, [_summary(block, limit)])
+            leave = tuple(row.column(c)[0].as_py() for c in ("exit_need", "exit_skip", "exit_part"))
+            yield row
 
     return run
 
@@ -264,7 +305,7 @@ def _summary(block: Block, limit: int | None):
         except Corrupt as bad:
             fault = (CORRUPT_FRAME, str(bad), bad.pos - len(part))
             inside = (0, 0, b"")
-    elif block.block == 0:
+    elif block.first_seq == 0:
         start = 0
     else:
         start = guess_boundary(buf)
@@ -282,7 +323,7 @@ def _summary(block: Block, limit: int | None):
         boundary, count, tail, tail_us, leave = False, 0, b"", None, inside
         head = buf if not fault else buf[:fault[2] + 1]
     return (
-        block.conn_id, block.remote_addr, block.block, len(block.us), len(buf), block.gap,
+        block.conn_id, block.remote_addr, block.block, block.first_seq, len(block.us), len(buf), block.gap,
         *entry, boundary, len(head), count, len(tail), *leave,
         fault and fault[0], fault and fault[1],
         block.arrival(fault[2]) if fault else None,
@@ -299,8 +340,8 @@ class _Walk:
         self.conn_id, self.remote_addr = conn_id, remote_addr
         self.need, self.skip, self.part = 0, 0, b""
         self.held, self.held_us = 0, None       # size and arrival of the unfinished value
-        self.frame_no, self.next_block, self.short = 0, 0, False
-        self.dead, self.lost = False, False
+        self.frame_no, self.next_seq = 0, 0
+        self.dead, self.lost, self.closed = False, False, False
         self.last_us = None
 
     def value(self, us, kind=None, detail=None):
@@ -358,17 +399,21 @@ def check_heads(batches):
         yield _rows(arrow_schema(DOUBT_DDL), wrong)
 
 
-def walk_blocks(block_segments: int, limit: int | None, want: str):
+def walk_blocks(limit: int | None, want: str):
     """mapInArrow body over `THIN_COLUMNS` sorted by (conn_id, block).
 
-    ``want``: 'doubt', 'plan' or 'value', see the DDL of each above.
+    ``want``: 'doubt', or 'final' for the plan and the values once there are no doubts; see the DDL of each above.
     """
-    schema = arrow_schema({"doubt": DOUBT_DDL, "plan": PLAN_DDL, "value": VALUE_DDL}[want])
+    schema = arrow_schema({"doubt": DOUBT_DDL, "final": FINAL_DDL}[want])
     rows = []
 
     def emit(kind, row):
         if kind == want:
             rows.append(row)
+        elif want == "final" and kind == "plan":
+            rows.append((kind, *row, None, None, None, None, None))
+        elif want == "final" and kind == "value":
+            rows.append((kind, row[0], None, None, None, None, None, *row[1:]))
 
     def too_large(walk):
         return walk.fail(walk.held_us, *_too_large(limit, 0)[:2])
@@ -381,15 +426,18 @@ def walk_blocks(block_segments: int, limit: int | None, want: str):
 
     def step(walk: _Walk, row: dict):
         if walk.lost:
+            # Blocks without a guess of their own can be read on from the lost one.
+            walk.closed = walk.closed or row["exit_need"] is not None
+            if not walk.closed:
+                emit("doubt", (walk.conn_id, row["block"], None, None, None, True))
             return None
         if walk.dead:
             return plan(walk, row)
-        if row["block"] != walk.next_block or walk.short:
+        if row["first_seq"] != walk.next_seq:
             us = walk.last_us if walk.last_us is not None else row["first_us"]
             emit("value", walk.fail(us, SEQUENCE_GAP, GAP_DETAIL))
             return plan(walk, row)
-        walk.next_block += 1
-        walk.short = row["segments"] < block_segments
+        walk.next_seq += row["segments"]
 
         fit, state, check = _fit(walk, row)
         if fit is None or check:

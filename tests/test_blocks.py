@@ -69,6 +69,18 @@ def batches(rows, schema, size=7):
         yield pa.RecordBatch.from_pylist(rows[i:i + size], schema=schema)
 
 
+def chained(wrong, turn):
+    """`operators.frames.chains` on a list."""
+    out, run = [], []
+    for w in sorted(wrong, key=lambda w: (w["conn_id"], w["block"])):
+        if not run or (w["conn_id"], w["block"]) != (run[-1]["conn_id"], run[-1]["block"] + 1) or len(run) == 1 << turn:
+            run = []
+        run.append(w)
+        if run[0]["need"] is not None:
+            out.append(w if len(run) == 1 else {**w, "need": None, "skip": None, "part": None})
+    return out
+
+
 def frames_of(rows, block_segments, limit=None):
     """What the Spark job does, with lists in place of shuffles."""
     order = lambda r: (r["conn_id"], r["block"], r["seq"])
@@ -76,13 +88,13 @@ def frames_of(rows, block_segments, limit=None):
         r for b in body(batches(data, schema)) for r in b.to_pylist()]
     late = {r["conn_id"] for r in rows if r["seq"] >= block_segments}
     if not late:
-        return run(blocks.frame_blocks(block_segments, limit), sorted(rows, key=order), SEGMENTS)
+        return run(blocks.frame_blocks(limit), sorted(rows, key=order), SEGMENTS)
     many = [r for r in rows if r["conn_id"] in late]
     key = lambda r: (r["conn_id"], r["block"])
     walk = lambda want: run(
-        blocks.walk_blocks(block_segments, limit, want),
+        blocks.walk_blocks(limit, want),
         [{k: r[k] for k in blocks.THIN_COLUMNS} for r in sorted(summaries, key=key)], THIN)
-    scan = blocks.summarise_blocks(block_segments, limit)
+    scan = blocks.summarise_blocks(limit)
     summaries = run(scan, sorted(many, key=order), SEGMENTS)
     turns = 0
     while True:
@@ -92,8 +104,9 @@ def frames_of(rows, block_segments, limit=None):
             blocks.check_heads, [{**d, "head": heads[key(d)]} for d in doubts if not d["wrong"]], DOUBT_HEADS)
         if not wrong:
             break
+        wrong = chained(wrong, turns)
         turns += 1
-        assert turns <= len(rows) + 1, "no progress"
+        assert turns <= len(rows).bit_length() + 1, "too many rounds"
         control = [dict(conn_id=w["conn_id"], remote_addr=None, block=w["block"], seq=-1,
                         recv_us=None, payload=w["part"], ctl_a=w["need"], ctl_b=w["skip"])
                    for w in wrong]
@@ -101,16 +114,17 @@ def frames_of(rows, block_segments, limit=None):
         again = [r for r in many if key(r) in keys]
         summaries = [s for s in summaries if key(s) not in keys] + run(
             scan, sorted(again + control, key=order), SEGMENTS)
-    plan = walk("plan")
+    final = walk("final")
+    plan = [f for f in final if f["kind"] == "plan"]
     control = [dict(conn_id=p["conn_id"], remote_addr=None, block=p["block"], seq=-1,
                     recv_us=None, payload=None, ctl_a=p["start"], ctl_b=p["base"])
                for p in plan]
     by_key = {key(s): s for s in summaries}
-    pieces = [{**dict.fromkeys(PIECES.names), **v, "ord": -1} for v in walk("value")] + [
+    pieces = [{**{n: v.get(n) for n in PIECES.names}, "ord": -1} for v in final if v["kind"] == "value"] + [
         {**dict.fromkeys(PIECES.names), "conn_id": p["conn_id"], "frame_no": p[side + "_of"],
          "ord": 2 * p["block"] + (side == "tail"), "payload": by_key[key(p)][side]}
         for p in plan for side in ("head", "tail") if p[side + "_of"] is not None and by_key[key(p)][side]]
-    return run(blocks.frame_blocks(block_segments, limit),
+    return run(blocks.frame_blocks(limit),
                sorted(rows + control, key=order), SEGMENTS) + run(
         blocks.assemble_values, sorted(pieces, key=lambda r: (r["conn_id"], r["frame_no"], r["ord"])), PIECES)
 
@@ -200,11 +214,11 @@ def test_good_guesses_need_no_second_scan(monkeypatch):
         for i in range(400))
     rows = segment_rows(1, stream, list(range(700, len(stream), 700)), 8)
     key = lambda r: (r["conn_id"], r["block"], r["seq"])
-    summaries = [r for b in blocks.summarise_blocks(8, None)(batches(sorted(rows, key=key), SEGMENTS))
+    summaries = [r for b in blocks.summarise_blocks(None)(batches(sorted(rows, key=key), SEGMENTS))
                  for r in b.to_pylist()]
     assert len(calls) == len(summaries) - 1 > 10
     thin = [{k: r[k] for k in blocks.THIN_COLUMNS} for r in summaries]
-    doubts = [r for b in blocks.walk_blocks(8, None, "doubt")(batches(thin, THIN)) for r in b.to_pylist()]
+    doubts = [r for b in blocks.walk_blocks(None, "doubt")(batches(thin, THIN)) for r in b.to_pylist()]
     assert doubts and not any(d["wrong"] for d in doubts)
     checked = [{**d, "head": summaries[d["block"]]["head"]} for d in doubts]
     assert not [r for b in blocks.check_heads(batches(checked, DOUBT_HEADS)) for r in b.to_pylist()]
