@@ -9,6 +9,7 @@ These functions take and give Arrow batches so that they run inside `mapInArrow`
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,8 @@ CHUNK_TOO_LARGE = "CHUNK_TOO_LARGE"
 CORRUPT_FRAME = "CORRUPT_FRAME"
 SEQUENCE_GAP = "SEQUENCE_GAP"
 INCOMPLETE = "INCOMPLETE"
+#: Not a fault: how a connection stands that may go on, for one that does (see `open_detail`).
+OPEN = "OPEN"
 
 GAP_DETAIL = "a segment is missing; later bytes cannot be placed"
 
@@ -225,11 +228,17 @@ def _frame_batch(block: Block, bounds: np.ndarray, base: int) -> pa.RecordBatch:
     ], schema=FRAME_COLUMNS)
 
 
-def frame_blocks(limit: int | None):
+def open_detail(next_seq: int, began_us: int | None) -> str:
+    """Which segment a connection waits for and when its unfinished value began, as JSON."""
+    return json.dumps({"next_seq": next_seq, "began_us": began_us})
+
+
+def frame_blocks(limit: int | None, goes_on: bool = False):
     """mapInArrow body: blocks -> frames.
 
     A control row says where the first value of a block starts and which number it has;
-    a block without one is a whole connection, whose faults are reported here too.
+    a block without one is a whole connection, whose faults are reported here too. With ``goes_on`` a
+    connection that is cut off or lacks a segment gives an `OPEN` row with its unfinished bytes, as does one without any.
     """
 
     def run(batches):
@@ -242,18 +251,22 @@ def frame_blocks(limit: int | None):
                 continue
             scan = scan_values(block.buf, 0, limit)
             yield from _frame_batches(block, scan, 0)
-            fault = _closing_fault(block, scan)
+            fault = _closing_fault(block, scan, goes_on)
             if fault:
                 yield _rows(FRAME_COLUMNS, [fault])
 
     return run
 
 
-def _closing_fault(block: Block, scan: Scan):
+def _closing_fault(block: Block, scan: Scan, goes_on: bool = False):
     held = block.buf[scan.bounds[-1]:]
     if scan.fault:
         kind, detail, at = scan.fault
         us, held = block.arrival(at), _fault_bytes(kind, block.buf[scan.bounds[-1]:at + 1])
+    elif goes_on:
+        began = block.arrival(scan.bounds[-1]) if held else None
+        kind, detail = OPEN, open_detail(block.first_seq + len(block.us), began)
+        us = int(block.us[-1]) if len(block.us) else block.first_us
     elif block.gap:
         kind, detail = SEQUENCE_GAP, GAP_DETAIL
         us = int(block.us[-1]) if len(block.us) else block.first_us
@@ -399,7 +412,7 @@ def check_heads(batches):
         yield _rows(arrow_schema(DOUBT_DDL), wrong)
 
 
-def walk_blocks(limit: int | None, want: str):
+def walk_blocks(limit: int | None, want: str, goes_on: bool = False):
     """mapInArrow body over `THIN_COLUMNS` sorted by (conn_id, block).
 
     ``want``: 'doubt', or 'final' for the plan and the values once there are no doubts; see the DDL of each above.
@@ -415,6 +428,14 @@ def walk_blocks(limit: int | None, want: str):
         elif want == "final" and kind == "value":
             rows.append((kind, row[0], None, None, None, None, None, *row[1:]))
 
+    def gap(walk, us):
+        if goes_on:
+            return leave(walk, us)
+        return walk.fail(us, SEQUENCE_GAP, GAP_DETAIL)
+
+    def leave(walk, us):
+        return walk.fail(us, OPEN, open_detail(walk.next_seq, walk.held_us if walk.held else None))
+
     def too_large(walk):
         return walk.fail(walk.held_us, *_too_large(limit, 0)[:2])
 
@@ -435,7 +456,7 @@ def walk_blocks(limit: int | None, want: str):
             return plan(walk, row)
         if row["first_seq"] != walk.next_seq:
             us = walk.last_us if walk.last_us is not None else row["first_us"]
-            emit("value", walk.fail(us, SEQUENCE_GAP, GAP_DETAIL))
+            emit("value", gap(walk, us))
             return plan(walk, row)
         walk.next_seq += row["segments"]
 
@@ -487,11 +508,13 @@ def walk_blocks(limit: int | None, want: str):
             emit("value", too_large(walk))
         elif row["gap"]:
             us = walk.last_us if walk.last_us is not None else row["first_us"]
-            emit("value", walk.fail(us, SEQUENCE_GAP, GAP_DETAIL))
+            emit("value", gap(walk, us))
         return None
 
     def finish(walk: _Walk | None):
-        if walk and walk.held and not walk.dead and not walk.lost:
+        if walk and goes_on and not walk.dead and not walk.lost:
+            emit("value", leave(walk, walk.last_us))
+        elif walk and walk.held and not walk.dead and not walk.lost:
             emit("value", walk.fail(walk.last_us, INCOMPLETE, incomplete_detail(walk.held)))
 
     def run(batches):

@@ -56,14 +56,13 @@ def dedupe_redelivery(requests: DataFrame, within: str = "10 minutes") -> DataFr
     Batch keeps the earliest arrival (then the lowest `conn_id`, `frame_no`) of the whole
     table; of a request recorded twice one row stays, also without a chunk. Each task first
     reduces its own rows, so a chunk repeated in a third of all rows costs no single task anything.
-    A stream keeps the first it sees of each chunk and forgets the chunk ``within`` of the clock after
-    that; no row is ever too late, and rows without a chunk need no state.
+    A stream keeps the first it sees of each key and forgets it ``within`` of the clock after
+    that; no row is ever too late. It is read once: a request without a chunk has a key of its own, held as long.
     """
-    if requests.isStreaming:
-        chunked = requests.where("chunk IS NOT NULL").withColumn("_seen", F.current_timestamp())
-        first = chunked.withWatermark("_seen", within).dropDuplicatesWithinWatermark(["chunk"]).drop("_seen")
-        return first.unionByName(requests.where("chunk IS NULL"))
     key = F.coalesce(F.concat(F.lit("c:"), F.col("chunk")), F.concat_ws(":", F.lit("f"), *KEYS))
+    if requests.isStreaming:
+        keyed = requests.withColumns({"_seen": F.current_timestamp(), "_key": key})
+        return keyed.withWatermark("_seen", within).dropDuplicatesWithinWatermark(["_key"]).drop("_seen", "_key")
     first = F.min_by(F.struct(*requests.columns), F.struct("recv_ts", *KEYS))
     return requests.groupBy(key.alias("_key")).agg(first.alias("_first")).select("_first.*")
 

@@ -25,6 +25,7 @@ def reassemble_frames(
     max_chunk_bytes: int | None = None,
     block_segments: int | None = None,
     block_bytes: int = BLOCK_BYTES,
+    goes_on: bool = False,
 ) -> DataFrame:
     """Join split segments and split merged ones; faults are rows with `error_class` set.
 
@@ -37,7 +38,8 @@ def reassemble_frames(
     lengths are added up along (conn_id, seq) to find the borders, each
     of their blocks is scanned from a guessed boundary, the guesses are checked against
     the neighbours, and the blocks that guessed wrong are scanned again until all agree.
-    The result does not depend on the block size. A value has at most 2 GiB, which is what a row holds.
+    The result does not depend on the block size. With ``goes_on`` each connection that has not failed also gives an
+    `OPEN` row: its unfinished bytes in `frame`, the number of its next frame, what it waits for in `detail`. A value has at most 2 GiB, which is what a row holds.
     """
     limit = min(max_chunk_bytes or blocks.ROW_BYTES, blocks.ROW_BYTES)
     if block_segments:
@@ -45,7 +47,7 @@ def reassemble_frames(
     else:
         block_of = _block_of(
             segments, F.octet_length("payload").cast("bigint") + SEGMENT_BYTES, block_bytes, LONG_SEGMENTS)
-    frame = blocks.frame_blocks(limit)
+    frame = blocks.frame_blocks(limit, goes_on)
     if block_of is None:
         return _per_block(_with_block(segments, F.lit(0)), frame, schemas.FRAMES)
 
@@ -53,7 +55,7 @@ def reassemble_frames(
     summaries = _agreed_summaries(parts.where("block > 0"), limit)
     spark = segments.sparkSession
     path = f"{shared_folder(spark)}-walk"
-    _walk(summaries, limit, "final", blocks.FINAL_DDL).write.parquet(path)
+    _walk(summaries, limit, "final", blocks.FINAL_DDL, goes_on).write.parquet(path)
     final = spark.read.schema(blocks.FINAL_DDL).parquet(path)
     plan, values = (
         final.where(f"kind = '{kind}'").select(*[c.split()[0] for c in ddl.split(", ")])
@@ -80,12 +82,14 @@ def _block_of(segments: DataFrame, weight: Column, size: int, least_segments: in
     """
     if segments.where(F.col("seq") >= least_segments).select("conn_id").isEmpty():
         return None
-    spark = segments.sparkSession
-    path = f"{shared_folder(spark)}-long"
-    segments.groupBy("conn_id").agg(F.sum(weight).alias("total")).where(F.col("total") > size).write.parquet(path)
-    long = spark.read.parquet(path)
-    size = max(size, -(-(long.agg(F.sum("total")).first()[0] or 0) // MOST_BLOCKS))
-    ids = np.array(sorted(r[0] for r in long.where(F.col("total") > size).select("conn_id").collect()), dtype=np.int64)
+    totals = segments.groupBy("conn_id").agg(F.sum(weight).alias("total"))
+    longest = lambda over: totals.where(F.col("total") > over).limit(MOST_BLOCKS + 1).collect()
+    found = longest(size)
+    if len(found) > MOST_BLOCKS:
+        size = -(-totals.agg(F.sum("total")).first()[0] // MOST_BLOCKS)
+        found = longest(size)       # not more than fit into all weight
+    size = max(size, -(-sum(r["total"] for r in found) // MOST_BLOCKS))
+    ids = np.array(sorted(r["conn_id"] for r in found if r["total"] > size), dtype=np.int64)
     if not len(ids):
         return None
 
@@ -156,7 +160,7 @@ def _per_block(rows: DataFrame, body, ddl: str, unit: str = "block") -> DataFram
     )
 
 
-def _walk(summaries: DataFrame, limit, want: str, ddl: str) -> DataFrame:
+def _walk(summaries: DataFrame, limit, want: str, ddl: str, goes_on: bool = False) -> DataFrame:
     """Go over each connection's block states in order; their bytes are not read.
 
     A connection's states go through one task: some hundred bytes each, and never more than `MOST_BLOCKS`.
@@ -164,7 +168,7 @@ def _walk(summaries: DataFrame, limit, want: str, ddl: str) -> DataFrame:
     return (
         summaries.select(*blocks.THIN_COLUMNS).repartition("conn_id")
         .sortWithinPartitions("conn_id", "block")
-        .mapInArrow(blocks.walk_blocks(limit, want), ddl)
+        .mapInArrow(blocks.walk_blocks(limit, want, goes_on), ddl)
     )
 
 

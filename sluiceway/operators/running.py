@@ -28,13 +28,10 @@ def running_sum(rows: DataFrame, value: str, name: str, row: str = "row") -> Dat
 
     Ranges are summed first; only their sums, one row each, are added up in one task.
     """
-    spark = rows.sparkSession
     part = F.shiftright(row, 33)
     sums = rows.groupBy(part.alias("_part")).agg(F.sum(value).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    path = f"{shared_folder(spark)}-offsets"
-    sums.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")).write.parquet(path)
-    offsets = spark.read.parquet(path)
+    offsets = sums.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_part").orderBy(row).rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.withColumn("_part", part)

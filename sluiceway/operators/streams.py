@@ -122,13 +122,24 @@ def same_streams(left: DataFrame, right: DataFrame, option: bool = False) -> boo
     return stream_difference(left, right, option).isEmpty()
 
 
-def tag_totals(requests: DataFrame) -> DataFrame:
-    """Requests, entries and the first and last event time of each tag."""
+def with_counts(requests: DataFrame) -> DataFrame:
+    """Add what rates and totals need of `entries`: `n_entries`, `first_time` and `last_time` (sec, nanos)."""
     times = F.transform("entries", lambda e: F.struct(
         e["time_sec"].alias("sec"), e["time_nanos"].alias("nanos")))
+    return requests.withColumns({
+        "n_entries": F.when(F.col("entries").isNotNull(), F.size("entries")),
+        "first_time": F.array_min(times), "last_time": F.array_max(times)})
+
+
+def tag_totals(requests: DataFrame) -> DataFrame:
+    """Requests, entries and the first and last event time of each tag.
+
+    Of a table that has the columns of `with_counts`, `entries` is not read.
+    """
+    counted = requests if "n_entries" in requests.columns else with_counts(requests)
     return (
-        requests.select("tag", F.size("entries").alias("n"), F.array_min(times).alias("lo"),
-                        F.array_max(times).alias("hi"))
+        counted.select("tag", F.col("n_entries").alias("n"), F.col("first_time").alias("lo"),
+                       F.col("last_time").alias("hi"))
         .groupBy("tag").agg(
             F.count("*").alias("requests"), F.sum("n").cast("bigint").alias("entries"),
             F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -144,14 +155,17 @@ def throughput(requests: DataFrame, every: str = "1 second", by_tag: bool = Fals
                fill: bool = True) -> DataFrame:
     """Entries per window of arrival time; with ``fill``, idle windows report 0.
 
+    Of a table that has `n_entries` (see `with_counts`), `entries` is not read.
+
     ``fill`` covers the span from the first to the last window (of each tag, by tag) and
     is for batches; a stream gives updates per window, keeps all windows and drops nothing. For rates
     of a long-lived stream use `throughput_to_table`, which keeps no state.
     """
     keys = ["tag"] if by_tag else []
+    entries = "n_entries" if "n_entries" in requests.columns else F.size("entries")
     counts = (
         requests.groupBy(F.window("recv_ts", every), *keys)
-        .agg(F.sum(F.size("entries")).cast("bigint").alias("entries"))
+        .agg(F.sum(entries).cast("bigint").alias("entries"))
         .select(F.col("window.start").alias("window_start"), *keys, "entries"))
     if requests.isStreaming or not fill:
         return counts

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluiceway.operators.delivery import acks, dedupe_redelivery, deliver, render_streams, unacked
+from sluiceway.operators.delivery import (
+    acks, dedupe_redelivery, deliver, print_streams, render_streams, unacked)
 from sluiceway.operators.streams import (
     distinct_events, distinct_streams, group_streams, order_by_tag, ranked_entries,
     stream_difference, tag_totals, throughput)
@@ -190,6 +191,13 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id
 FROM conversations"""
 
 
+def printed(spark, sf_dir):
+    """The text files that printing all streams leaves, read back line by line."""
+    path = f"{shared_folder(spark)}-printed"
+    print_streams(event_requests(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("text"))
+
+
 def rendered(spark, sf_dir):
     return render_streams(event_requests(spark, sf_dir))
 
@@ -332,6 +340,7 @@ QUERIES = {
     "order_entries": (order_entries, ORDER_ENTRIES_SQL),
     "conversation_entries": (conversation_entries, CONVERSATION_ENTRIES_SQL),
     "render_streams": (rendered, RENDER_SQL),
+    "print_streams": (printed, f"SELECT text FROM ({RENDER_SQL})"),
     "tag_totals": (totals, TOTALS_SQL),
     "throughput_fill": (throughput_fill, THROUGHPUT_SQL),
     "throughput_by_tag": (throughput_by_tag, BY_TAG_SQL),

@@ -6,20 +6,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway import schemas
 from sluiceway.operators.delivery import acks, dedupe_redelivery, deliver, unacked
-from sluiceway.operators.requests import explode_events
+from sluiceway.operators.requests import decode_requests, explode_events
+from sluiceway.operators.streams import tag_totals
 from sluiceway.plans import admission_queries, stream_queries, traffic, wire_queries
 from sluiceway.plans.ingest import ingest, ingest_stream, views
 from sluiceway.session import shared_folder
-from sluiceway.sources.tables import read_segments
+from sluiceway.sources.tables import epoch_sink, read_segments
 from sluiceway.streaming.admission import Admission, admission_stream, admission_tables
+from sluiceway.streaming.epochs import reassemble_epochs
 from sluiceway.streaming.rates import latest_rates, throughput_to_table
 
 FILES = 3       # micro-batches the recorded segments are spread over
 
 
-def _recorded(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def _recorded(spark: SparkSession, sf_dir: str, folder: str, hot: bool = False) -> str:
     """Segments on storage, shuffled over a few files as concurrent writers leave them."""
-    segments = traffic.mixed_mode_segments(spark, sf_dir)
+    segments = traffic.mixed_mode_segments(spark, sf_dir, hot)
     path = f"{folder}/segments"
     segments.repartition(FILES, "seq").write.parquet(path)
     return path
@@ -34,6 +36,17 @@ def stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wire_queries.event_rows(explode_events(views(spark, f"{folder}/decoded").requests))
 
 
+def stream_roundtrip_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of every micro-batch on one connection, each framed by many tasks; segments out of order."""
+    folder = shared_folder(spark)
+    segments = read_segments(spark, _recorded(spark, sf_dir, folder, hot=True), stream=True, files_per_trigger=1)
+    put = epoch_sink(f"{folder}/events")
+    reassemble_epochs(
+        segments, lambda frames, epoch: put(decode_requests(frames), epoch), f"{folder}/state", f"{folder}/checkpoint",
+        block_bytes=32 << 10, available_now=True).awaitTermination()
+    return wire_queries.event_rows(spark.read.parquet(f"{folder}/events"))
+
+
 def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests, rejects and heartbeats of one decoding pass, counted per connection."""
     segments = wire_queries.damaged_segments(spark, sf_dir)
@@ -70,6 +83,36 @@ SELECT epoch_us(ts) // 3600000000 * 3600000000 AS window_us, event_type AS tag,
 FROM events GROUP BY ALL"""
 
 
+def stream_throughput_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of several micro-batches, counted per hour, merged as they finish, rolled up to days."""
+    folder = shared_folder(spark)
+    stream_queries.event_requests(spark, sf_dir).repartition(2 * FILES, "frame_no").write.parquet(f"{folder}/requests")
+    stream = spark.readStream.schema(schemas.REQUESTS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/requests")
+    throughput_to_table(stream, f"{folder}/rates", f"{folder}/checkpoint", "1 hour", by_tag=True,
+                        available_now=True, compact=2).awaitTermination()
+    return latest_rates(spark, f"{folder}/rates", "1 day").select(
+        F.unix_micros("window_start").alias("window_us"), "tag", "entries")
+
+
+STREAM_DAILY_SQL = """
+SELECT epoch_us(ts) // 86400000000 * 86400000000 AS window_us, event_type AS tag, CAST(count(*) AS BIGINT) AS entries
+FROM events GROUP BY ALL"""
+
+
+def ingested_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per tag from what `ingest` has written, without reading an entry."""
+    segments = traffic.recorded(traffic.mixed_mode_segments(spark, sf_dir))
+    return tag_totals(ingest(segments, f"{shared_folder(spark)}/decoded").counts)
+
+
+INGESTED_TOTALS_SQL = f"""
+WITH e AS ({wire_queries.ROUNDTRIP_SQL})
+SELECT tag, count(DISTINCT (conn_id, frame_no)) AS requests, count(*) AS entries,
+  min((time_sec, time_nanos))[1] AS first_sec, min((time_sec, time_nanos))[2] AS first_nanos,
+  max((time_sec, time_nanos))[1] AS last_sec, max((time_sec, time_nanos))[2] AS last_nanos
+FROM e GROUP BY tag"""
+
+
 def _order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = traffic.table(spark, sf_dir, "orders")
     stream = (
@@ -191,7 +234,10 @@ SELECT conn_id, client_ord, ok, reason, hostname, message_bytes, coalesce(refuse
 QUERIES = {
     "ingest": (ingested, INGESTED_SQL),
     "stream_roundtrip": (stream_roundtrip, wire_queries.ROUNDTRIP_SQL),
+    "stream_roundtrip_hot": (stream_roundtrip_hot, wire_queries.HOT_SQL),
     "stream_throughput": (stream_throughput, STREAM_THROUGHPUT_SQL),
+    "stream_throughput_daily": (stream_throughput_daily, STREAM_DAILY_SQL),
+    "ingest_totals": (ingested_totals, INGESTED_TOTALS_SQL),
     "stream_deliver": (stream_deliver, stream_queries.ACKS_SQL),
     "stream_dedupe": (stream_dedupe, STREAM_DEDUPE_SQL),
     "stream_unacked": (stream_unacked, STREAM_UNACKED_SQL),

@@ -5,14 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _epochs(spark: SparkSession, folder: str) -> list[int]:
-    """The epochs that have a folder, in order; any storage that Spark reaches."""
+def _place(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, folder: str, prefix: str = "epoch=") -> list[str]:
+    """What follows ``prefix`` in the names of a folder's folders; any storage that Spark reaches."""
+    path, files = _place(spark, folder)
     if not files.exists(path):
         return []
     names = [s.getPath().getName() for s in files.listStatus(path)]
-    return sorted(int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch="))
+    return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path, files = _place(spark, folder)
+    files.delete(path, True)
+
+
+def written(spark: SparkSession, folder: str) -> bool:
+    """Whether a table there was written to its end."""
+    path, files = _place(spark, f"{folder}/_SUCCESS")
+    return files.exists(path)
+
+
+def _epochs(spark: SparkSession, folder: str) -> list[int]:
+    return sorted(map(int, folders(spark, folder)))
 
 
 class Versions:
@@ -44,5 +63,4 @@ class Versions:
         names = [c.split()[0] for c in self.schema.split(", ")]
         rows.select(*names).write.mode("overwrite").parquet(f"{self.folder}/epoch={epoch}")
         for old in [e for e in _epochs(self.spark, self.folder) if e < epoch][:-self.KEPT]:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/epoch={old}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(self.spark, f"{self.folder}/epoch={old}")
