@@ -18,7 +18,7 @@ from sluiceway.operators.admission import (
     AdmissionConfig, bad_pings, check_pings, first_pings, pings_of, pong_rows)
 from sluiceway.operators.delivery import query_folder
 from sluiceway.operators.joins import measured_join
-from sluiceway.streaming.versions import Versions
+from sluiceway.streaming.versions import Versions, remove
 
 _VERDICTS = "conn_id BIGINT, ping_no BIGINT, ok BOOLEAN, seen_us BIGINT"
 
@@ -58,62 +58,54 @@ def admission_stream(
 
     def one_epoch(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        try:
-            _epoch(spark, batch, epoch)
-        finally:
-            batch.unpersist()
-
-    def _epoch(spark: SparkSession, batch: DataFrame, epoch: int) -> None:
-        state = lambda name, schema: Versions(spark, query_folder(batch, f"{path}/{name}"), schema)
-        known, waiting = state("known", _VERDICTS), state("waiting", schemas.FRAMES)
-        put = lambda rows, name: rows.write.mode("overwrite").parquet(
-            f"{query_folder(batch, f'{path}/{name}')}/epoch={epoch}")
+        known = Versions(spark, query_folder(batch, f"{path}/known"), _VERDICTS)
+        waiting = Versions(spark, query_folder(batch, f"{path}/waiting"), schemas.FRAMES)
+
+        def put(rows: DataFrame, name: str) -> DataFrame:
+            """A table of this epoch, which also keeps the plans behind it short."""
+            folder = f"{query_folder(batch, f'{path}/{name}')}/epoch={epoch}"
+            rows.write.mode("overwrite").parquet(folder)
+            return spark.read.schema(rows.schema).parquet(folder)
+
         greeted = handshakes() if callable(handshakes) else handshakes
         verdicts = known.before(epoch)
-
         connections = greeted.select("conn_id", F.lit(True).alias("_secured")).join(
-            verdicts.withColumn("_judged", F.lit(True)), "conn_id", "left")
-        tagged = measured_join(batch, connections, ["conn_id"], "left", ["conn_id", "frame_no"])
-        fault, judged = F.col("error_class").isNotNull(), F.col("_judged").isNotNull()
-        passing = F.col("_secured").isNull() | fault
-        fresh = waiting.before(epoch).unionByName(
-            tagged.where(~passing & ~judged).select(*columns))
-
-        first = first_pings(fresh, greeted)
-        put(first, "first")        # small, read by everything below
-        first = spark.read.schema(first.schema).parquet(
-            f"{query_folder(batch, f'{path}/first')}/epoch={epoch}")
+            verdicts.drop("seen_us").withColumn("_judged", F.lit(True)), "conn_id", "left")
+        came = put(batch, "came")
+        tagged = put(measured_join(came, connections, ["conn_id"], "left", ["conn_id", "frame_no"]), "tagged")
+        passing = F.col("_secured").isNull() | F.col("error_class").isNotNull()
+        judged = F.col("_judged").isNotNull()
+        fresh = put(waiting.before(epoch).unionByName(tagged.where(~passing & ~judged).select(*columns)), "fresh")
+
+        first = put(first_pings(fresh, greeted), "first")
         pings = pings_of(first)
         results = check_pings(pings, clients, users, cfg)
-        made = first.select("conn_id", F.when(F.col("p.ok"), F.col("p.frame_no")).alias("ping_no")).join(
-            results, "conn_id", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-        put(made, "verdicts")
-        made = spark.read.schema(made.schema).parquet(
-            f"{query_folder(batch, f'{path}/verdicts')}/epoch={epoch}")
+        made = put(first.select("conn_id", F.when(F.col("p.ok"), F.col("p.frame_no")).alias("ping_no")).join(
+            results, "conn_id", "left").withColumn("ok", F.coalesce("ok", F.lit(False))), "verdicts")
         put(pong_rows(made.where("ping_no IS NOT NULL").select("conn_id", "ok", "reason", "client_ord"),
                       pings, clients, cfg), "pongs")
 
-        now = F.unix_micros(F.current_timestamp())
-        decided = measured_join(
+        decided = put(measured_join(
             fresh, made.select("conn_id", "ping_no", "ok", F.lit(True).alias("_judged")),
-            ["conn_id"], "left", ["conn_id", "frame_no"])
+            ["conn_id"], "left", ["conn_id", "frame_no"]), "decided")
         waiting.write(decided.where("_judged IS NULL").select(*columns), epoch)
-        done = decided.where("_judged").unionByName(
-            tagged.where(~passing & judged).drop("_secured", "seen_us"))
+        done = decided.where("_judged").unionByName(tagged.where(~passing & judged).drop("_secured"))
         after = F.col("frame_no") > F.col("ping_no")
         may = after if not strict else after & F.col("ok")
         put(tagged.where(passing).select(*columns).unionByName(done.where(may).select(*columns)), "frames")
         early = F.col("ping_no").isNull() | (F.col("frame_no") < F.col("ping_no"))
         put(bad_pings(done.where(early)), "rejects")
 
+        now = F.unix_micros(F.current_timestamp())
         kept = verdicts.unionByName(made.select("conn_id", "ping_no", "ok", now.alias("seen_us")))
         if forget:
             silent = now - F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {forget})")
-            heard = batch.select("conn_id", F.lit(True).alias("_heard")).distinct()
+            heard = came.select("conn_id", F.lit(True).alias("_heard")).distinct()
             kept = kept.join(heard, "conn_id", "left").withColumn(
                 "seen_us", F.when(F.col("_heard"), now).otherwise(F.col("seen_us"))).where(F.col("seen_us") >= silent)
         known.write(kept, epoch)
+        for name in ("came", "tagged", "fresh", "first", "decided"):
+            remove(spark, f"{query_folder(batch, f'{path}/{name}')}/epoch={epoch}")
 
     writer = frames.writeStream.foreachBatch(one_epoch)
     if checkpoint:

@@ -16,7 +16,7 @@ from sluiceway.functions.blocks import OPEN
 from sluiceway.operators.delivery import query_folder
 from sluiceway.operators.frames import BLOCK_BYTES, reassemble_frames
 from sluiceway.operators.joins import measured_join
-from sluiceway.streaming.versions import Versions
+from sluiceway.streaming.versions import Versions, remove
 
 #: A connection's number of the next segment and frame, and its unfinished bytes.
 _STATE = (
@@ -47,10 +47,11 @@ def reassemble_epochs(
         spark = batch.sparkSession
         state = Versions(spark, query_folder(batch, f"{path}/connections"), _STATE)
         waiting = Versions(spark, query_folder(batch, f"{path}/waiting"), schemas.SEGMENTS)
-        frames = frame_epoch(
-            spark, batch, state, waiting, epoch, f"{query_folder(batch, f'{path}/framed')}/epoch={epoch}",
-            max_chunk_bytes=max_chunk_bytes, block_bytes=block_bytes, block_segments=block_segments)
-        sink(frames, epoch)
+        folder = f"{query_folder(batch, f'{path}/framed')}/epoch={epoch}"
+        sink(frame_epoch(
+            spark, batch, state, waiting, epoch, folder,
+            max_chunk_bytes=max_chunk_bytes, block_bytes=block_bytes, block_segments=block_segments), epoch)
+        remove(spark, folder)
 
     writer = segments.select(*_COLUMNS).writeStream.foreachBatch(one_epoch)
     if checkpoint:
