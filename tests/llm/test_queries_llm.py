@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 def test_whole_tables(spark, name):
     assert name in contract.queries()
     got = contract.queries()[name](spark, SF)
-    table = {"op3_nearest": None, "op1_decontaminate": None, "op4_html_text": "pages", "op8_transcripts": "conversations"}.get(name, "documents")
+    table = {"op3_nearest": None, "op1_decontaminate": None, "op4_html_text": "pages", "op8_transcripts": "conversations",
+             "op11_warc_files": "pages", "op12_repair_conversations": None, "op13_spelling_variants": None}.get(name, "documents")
     if table:
         assert got.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
     sql = QUERIES[name][1]
