@@ -19,16 +19,15 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm import texts as tx
 from sluiceway.llm.components import components, free_name, stored
+from sluiceway.operators.joins import measured_join
 
 LENGTH = 127        # a prime, so that the orders are permutations
 _NONE = np.uint64(np.iinfo(np.uint64).max)
 _FRACTION = np.uint64((1 << 56) - 1)
 #: Chance of a pair at the threshold to share no band, at most.
 MISS = 1e-6
-#: Rounds in which each set is compared with those it shares most bands with, and with how many.
+#: Rounds in which each set is compared with the pivots it shares most bands with, and with how many.
 PIVOTS = (1, 4)
-#: Signatures that the sketches of the last round are made of.
-SKETCHES = 8
 
 
 def band_rows(threshold: float, miss: float = MISS) -> int:
@@ -67,14 +66,6 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sketches(signature: np.ndarray) -> np.ndarray:
-    """One bit of each place, 64 places to a 64-bit value: enough to rule out distant pairs."""
-    bits = np.zeros((len(signature), 128), dtype=np.uint64)
-    bits[:, :LENGTH] = tx.mix(signature) & np.uint64(1)
-    shifted = bits << (np.arange(128, dtype=np.uint64) % np.uint64(64))
-    return np.bitwise_or.reduce(shifted.reshape(-1, 2, 64), axis=2).view(np.int64)
-
-
 _SIGNED = "doc_id BIGINT, n_shingles BIGINT, digest BINARY, bands ARRAY<BIGINT>"
 
 
@@ -97,16 +88,6 @@ def _sign(batches, words: int, rows: int):
                 ["doc_id", "n_shingles", "digest", "bands"])
 
 
-def _sketch(batches, words: int):
-    """Sketches of SKETCHES further signatures of each text."""
-    for whole in batches:
-        for batch in tx.slices(whole, "text"):
-            values, starts = tx.shingles(*tx.words(batch.column("text")), words)
-            salted = [signatures(tx.mix(values ^ salt), starts) for salt in tx.seed_values(31, SKETCHES)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), _lists(np.hstack([sketches(x) for x in salted]))], ["rep", "sketch"])
-
-
 def _verify(batches, words: int, percent: int):
     """The pairs whose full sets reach the threshold."""
     for batch in batches:
@@ -125,18 +106,93 @@ def _close(batch: pa.RecordBatch, words: int, percent: int) -> list[bool]:
     return out
 
 
-def _distance(a: str, b: str):
-    """Places in which the two sketches differ."""
-    return sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(2 * SKETCHES))
+_DELTA = "rep BIGINT, pivot BIGINT, apart BOOLEAN, own BIGINT, base BIGINT, " \
+    "n BIGINT, n_base BIGINT, linked BOOLEAN, delta ARRAY<BIGINT>"
+
 
+def _name(values: np.ndarray) -> int:
+    """One value that tells the sets of a document, or of a pivot, apart."""
+    return int(np.bitwise_xor.reduce(tx.mix(values), initial=np.uint64(0)).view(np.int64))
 
-def sketch_limit(threshold: float) -> int:
-    """Differing places that a pair at the threshold exceeds less than once in 300,000 times.
 
-    This takes the places as independent; those of one SuperMinHash signature differ less from their mean.
+def _deltas(batches, words: int, percent: int):
+    """What each set (text_a) and its pivot's (text_b) don't share, and whether they are linked."""
+    schema = pa.schema([("rep", pa.int64()), ("pivot", pa.int64()), ("apart", pa.bool_()), ("own", pa.int64()),
+                        ("base", pa.int64()), ("n", pa.int64()), ("n_base", pa.int64()), ("linked", pa.bool_()),
+                        ("delta", pa.list_(pa.int64()))])
+    for batch in batches:
+        for part in tx.slices(batch, "text_a", 2 << 20):
+            left, at = tx.shingles(*tx.words(part.column("text_a")), words)
+            names, bases, sizes, base_sizes, linked, deltas = [], [], [], [], [], []
+            for k in range(part.num_rows):
+                right, _ = tx.shingles(*tx.words(part.column("text_b").slice(k, 1)), words)
+                mine = left[at[k]:at[k + 1]]
+                delta = np.setxor1d(mine, right, assume_unique=True)
+                total = len(mine) + len(right)
+                names.append(_name(mine))
+                bases.append(_name(right))
+                sizes.append(len(mine))
+                base_sizes.append(len(right))
+                linked.append((100 + percent) * len(delta) <= (100 - percent) * total)
+                deltas.append(pa.array(delta.view(np.int64)))
+            lists = pa.ListArray.from_arrays(
+                np.concatenate(([0], np.cumsum([len(d) for d in deltas]))).astype(np.int32), pa.concat_arrays(deltas))
+            yield pa.RecordBatch.from_arrays([
+                part.column("a"), part.column("b"), part.column("apart"), pa.array(names), pa.array(bases),
+                pa.array(sizes), pa.array(base_sizes), pa.array(linked, pa.bool_()), lists], schema=schema)
+
+
+def _beside_pivots(deltas: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked though neither is the pivot of both.
+
+    With m, n the sizes of a set's delta and of the set, and c = (100 - percent) / (100 + percent), a pair
+    is linked exactly if its deltas share at least (m_a + m_b - c * (n_a + n_b)) / 2 shingles. A set that
+    is not linked with the pivot has m > c * (n + n_base), so this is more than m * (1 - c) / 2 for each
+    partner of such a set, and at least (m - c * (n + n_base)) / 2 for the set itself. Two sets
+    linked with the pivot are of one component. So the rarest m - bound + 1 shingles of both deltas meet.
+    What sets have in common with their pivot is in no delta: a group of copies brings only shared edits together.
     """
-    places, p = LENGTH * SKETCHES, (1 - threshold) / 2
-    return int(places * p + 4.5 * (places * p * (1 - p)) ** 0.5) + 1
+    one = ["pivot", "base", "rep", "own"]
+    rows = deltas.withColumn("m", F.size("delta").cast("long"))
+    tokens = rows.select(*one, "n", "n_base", "m", "linked", F.explode("delta").alias("token"))
+    held = tokens.groupBy("pivot", "base", "token").agg(F.count("*").alias("df")).filter("df > 1")
+    ranked = tokens.join(held, ["pivot", "base", "token"]).groupBy(*one).agg(
+        *[F.first(c).alias(c) for c in ("n", "n_base", "m", "linked")],
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    # Shingles of one set only are the rarest, and meet nothing.
+    alone = F.col("m") - F.size("shared")
+    strict = F.floor(percent * F.col("m") / (100 + percent)) + 1
+    loose = F.greatest(F.lit(1), F.ceil(
+        ((100 + percent) * F.col("m") - (100 - percent) * (F.col("n") + F.col("n_base"))) / (2 * (100 + percent))))
+    prefix = ranked.withColumn("alone", alone) \
+        .withColumn("strict", F.col("m") - strict + 1 - F.col("alone")) \
+        .withColumn("loose", F.when(F.col("linked"), F.col("strict")).otherwise(F.col("m") - loose + 1 - F.col("alone"))) \
+        .filter(F.greatest("strict", "loose") > 0)
+    prefix = prefix.join(roots.withColumnRenamed("node", "rep"), "rep", "left") \
+        .withColumn("root", F.coalesce("root", "rep"))
+    longest = F.greatest("strict", "loose").cast("int")
+    spread = stored(deltas.sparkSession, prefix.select(
+        "pivot", "base", "rep", "root", "n", "m", "linked", "alone", "strict",
+        F.posexplode(F.slice("shared", F.lit(1), longest)).alias("at", "s")).select(
+            "pivot", "base", F.col("s.token").alias("token"), "rep", "root", "n", "m", "linked",
+            (F.col("alone") + F.col("at") + 1).alias("at"), (F.col("at") < F.col("strict")).alias("short")))
+
+    def meet(left: DataFrame, right: DataFrame, ordered: bool) -> DataFrame:
+        x, y = (side.select("pivot", "base", "token", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "root", "n", "m", "at")])
+                for side, k in ((left, "a"), (right, "b")))
+        fits = (100 + percent) * (F.col("m_a") + F.col("m_b")) - (100 - percent) * (F.col("n_a") + F.col("n_b")) \
+            <= 2 * (100 + percent) * (1 + F.least(F.col("m_a") - F.col("at_a"), F.col("m_b") - F.col("at_b")))
+        same = [x[c] == y[c] for c in ("pivot", "base", "token")]
+        where = fits & (F.col("root_a") != F.col("root_b"))
+        if ordered:
+            where = where & (F.col("rep_a") < F.col("rep_b"))
+        for c in same:
+            where = c & where
+        return x.join(y, where).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+
+    far, near = spread.filter("NOT linked"), spread.filter("linked")
+    return meet(far.filter("short"), far.filter("short"), True).union(meet(near, far, False)) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -150,10 +206,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     and it is kept. An empty table gives an empty result; other columns are ignored.
 
     Rows with equal sets are first reduced to one by a digest of the set, so a group of exact
-    copies costs one row a task. Then each set that shares bands with others is compared with one
-    pivots of these bands, the ones it shares most bands with; after two rounds only pairs of different
-    components in one band are left, and all of those are compared, once each, the nearest first, unless
-    sketches of longer signatures rule them out. No pair that a band brings together goes unchecked.
+    copies costs one row a task. Then each set that shares bands with others is compared with
+    pivots of these bands, the ones it shares most bands with: first the member of each band whose bands hold most
+    sets, which in a group of copies is the one with fewest edits, then any. Where a band still holds several
+    components, each of its sets is compared with one pivot, and the pairs of the others are found by
+    what they don't share with it (`_beside_pivots`), without loss. So every pair that shares a band is either
+    of one component or decided on full sets; two sets at the threshold share none with a chance of `MISS` at most.
     """
     spark = docs.sparkSession
     threshold = percent / 100
@@ -169,6 +227,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     shared = banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")) \
         .filter("lo < hi").select("key")
     shared = stored(spark, banded.join(shared, "key", "left_semi").distinct())
+    sizes = shared.groupBy("key").agg(F.count("*").alias("size"))
+    score = stored(spark, measured_join(shared, sizes, ["key"], "inner", ["rep"]).groupBy("rep").agg(
+        F.sum("size").alias("score")))
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     candidates = stored(spark, source.join(wanted, "doc_id", "left_semi"))
 
@@ -178,12 +239,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")) \
         .filter("a < b").select("a", "b")
 
+    def with_texts(pairs: DataFrame) -> DataFrame:
+        """The pairs with both texts; one pivot may be that of many."""
+        pairs = stored(spark, pairs)
+        left, right = (candidates.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+        return measured_join(pairs, right, ["b"], "inner", ["a"]).join(left, "a").select(*pairs.columns, "text_a", "text_b")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The pairs whose documents are similar."""
-        one = pairs.join(candidates.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        two = one.join(candidates.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        return two.select("a", "b", "text_a", "text_b") \
-            .mapInArrow(partial(_verify, words=words, percent=percent), "a BIGINT, b BIGINT")
+        return with_texts(pairs).mapInArrow(partial(_verify, words=words, percent=percent), "a BIGINT, b BIGINT")
+
+    def pivots(rest: DataFrame, order) -> DataFrame:
+        """One set of each band, the smallest in this order, joined to the band's rows."""
+        least = rest.join(score, "rep").groupBy("key").agg(
+            F.min(F.struct(*order, F.col("rep").alias("pivot"), F.col("root").alias("pivot_root"))).alias("p"))
+        return measured_join(rest, least.select("key", "p.pivot", "p.pivot_root"), ["key"], "inner", ["rep"])
 
     def mixed(roots: DataFrame) -> DataFrame:
         """Band rows with their components, where a band holds more than one."""
@@ -194,13 +264,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return here.join(several, "key", "left_semi")
 
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root")) if links.isEmpty() else components(links)
-    for turn, most in enumerate(PIVOTS):
+    orders = [[-F.col("score")], [F.xxhash64("rep")]]
+    for order, most in zip(orders, PIVOTS, strict=True):
         rest = stored(spark, mixed(roots))
-        pivot = rest.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("pivot"),
-                           F.col("root").alias("pivot_root"))).alias("p")).select("key", "p.*")
-        votes = rest.join(pivot, "key").filter("root <> pivot_root").groupBy("rep", "pivot") \
-            .agg(F.count("*").alias("n"))
+        votes = pivots(rest, order).filter("root <> pivot_root").groupBy("rep", "pivot").agg(F.count("*").alias("n"))
         # A set has one pivot a band at most, so the lists are short.
         best = F.slice(F.sort_array(F.collect_list(F.struct("n", "pivot")), asc=False), 1, most)
         pairs = votes.groupBy("rep").agg(best.alias("v")) \
@@ -209,25 +276,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         roots = stored(spark, components(links))
 
     rest = stored(spark, mixed(roots))
-    texts = candidates.withColumnRenamed("doc_id", "rep").join(rest.select("rep").distinct(), "rep", "left_semi")
-    sketch = texts.mapInArrow(partial(_sketch, words=words), "rep BIGINT, sketch ARRAY<BIGINT>")
-    bands = sets.join(rest.select("rep").distinct(), "rep", "left_semi").select("rep", "bands")
-    rest = stored(spark, rest.join(sketch.join(bands, "rep"), "rep"))
-    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "root", "sketch", "bands")])
-                   for side in "ab")
-    once = F.array_min(F.array_intersect("bands_a", "bands_b")) == left["key"]
-    close = (F.col("root_a") < F.col("root_b")) & (_distance("sketch_a", "sketch_b") <= sketch_limit(threshold)) & once
-    pairs = stored(spark, left.join(right, (left["key"] == right["key"]) & close).select(
-        F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), _distance("sketch_a", "sketch_b").alias("d")))
-    # First the nearest of each set, which joins most components that belong together; then what is left.
-    nearest = pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b")).union(
-        pairs.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")).distinct()
-    links = stored(spark, links.union(confirmed(nearest)))
+    pairs = pivots(rest, orders[0]).filter("rep <> pivot").select(
+        F.col("rep").alias("a"), F.col("pivot").alias("b"), (F.col("root") != F.col("pivot_root")).alias("apart")).distinct()
+    deltas = stored(spark, with_texts(pairs).mapInArrow(partial(_deltas, words=words, percent=percent), _DELTA))
+    direct = deltas.filter("linked AND apart").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    links = stored(spark, links.union(direct))
     roots = stored(spark, components(links))
-    root_of = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
-    apart = pairs.join(root_of[0], "a", "left").join(root_of[1], "b", "left") \
-        .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    links = stored(spark, links.union(confirmed(apart)))
+    links = stored(spark, links.union(confirmed(_beside_pivots(deltas, roots, percent))))
     roots = stored(spark, components(links))
 
     final = member.groupBy("doc_id").agg(F.min("rep").alias("rep")) \
