@@ -3,8 +3,12 @@
 Vectors get one more component that makes all of one length, so that the largest inner product is the
 least distance. Each hash is one random projection, its values kept as a sorted array. A query
 opens a window around its own projection in every array; a vector collides in an array when it
-lies in the window. Windows grow (virtual rehashing: no array is built anew) until enough vectors
-collide in at least a threshold of arrays, and these are verified by their inner products.
+lies in the window, and one that collides in enough arrays is verified by its inner product.
+
+Windows grow (virtual rehashing: no array is built anew) until they are wide enough for the k-th best
+vector verified: one at distance d collides in an array with the chance that a normal value of deviation d lies
+in the window, so a window of `REACH` times d lets each vector that is no further than d miss the threshold only by
+`SURE` deviations. Nothing in this depends on how many vectors a block holds.
 
 The vectors lie in blocks, each with its own arrays; the queries, in blocks too, meet every
 block, and the best of all blocks are merged.
@@ -12,6 +16,8 @@ block, and the best of all blocks are merged.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -22,14 +28,14 @@ from sluiceway.llm.components import stored
 NEIGHBOURS = 20
 #: Projections, and the share of them that a vector must collide in to be verified.
 HASHES, COLLIDING = 128, 0.68
+#: Deviations by which the expected collisions of a vector that must be found exceed the threshold: a chance of 0.98.
+SURE = 2.0
+#: The half window in which a vector at distance 1 collides that often.
+REACH = NormalDist().inv_cdf(0.5 + (COLLIDING + SURE * (COLLIDING * (1 - COLLIDING) / HASHES) ** 0.5) / 2)
 #: Vectors of a block, queries answered together.
-BLOCK, QUERY_BLOCK = 16_384, 512
-#: The first half window, in lengths of a vector, and its growth.
-FIRST_WINDOW, GROWTH = 1.0, 1.06
-#: Queries of a block that find out where the others' windows begin.
-PROBED = 12
-#: How many must collide for a window to do: a share of the block, and a least number.
-VERIFIED, LEAST_VERIFIED = 0.12, 200
+BLOCK, QUERY_BLOCK = 16_384, 2_048
+#: The first half window, in lengths of a vector, and its growth where too few vectors collide.
+FIRST_WINDOW, GROWTH = 0.7, 1.25
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -63,39 +69,45 @@ class Block:
         self.place = np.argsort(order, axis=0).T.astype(np.uint16 if len(vectors) <= 1 << 16 else np.uint32)
         self.norm = norm
 
-    def candidates(self, query: np.ndarray) -> list[np.ndarray]:
-        """For each query the vectors that collide with it in enough arrays."""
-        size = np.sqrt((query ** 2).sum(axis=1, keepdims=True))
+    def colliding(self, at: np.ndarray, width: float) -> np.ndarray:
+        """The vectors in the windows of at least the threshold of arrays; `at` are a query's projections."""
+        n, kind = len(self.vectors), self.place.dtype.type
+        lo = np.array([line.searchsorted(x - width) for line, x in zip(self.sorted, at, strict=True)])
+        hi = np.array([line.searchsorted(x + width, side="right") for line, x in zip(self.sorted, at, strict=True)])
+        if (hi - lo).min() >= n:
+            return np.arange(n)
+        inside = (self.place - lo[:, None].astype(kind)) < (hi - lo)[:, None].astype(kind)
+        return np.flatnonzero(np.add.reduce(inside, axis=0, dtype=np.uint8) >= int(np.ceil(COLLIDING * HASHES)))
+
+    def candidates(self, query: np.ndarray, k: int):
+        """For each query the vectors verified and their inner products; see the module on when windows do."""
+        size = np.sqrt((query ** 2).sum(axis=1))
         # A query's length changes no order; it is given the common one.
-        at = np.column_stack([query * (self.norm / size), np.zeros(len(query))]) @ self.lines
-        n, out = len(self.vectors), [np.zeros(0, dtype=np.int64)] * len(query)
-        enough = min(n, max(LEAST_VERIFIED, int(VERIFIED * n)))
-        least, kind = int(np.ceil(COLLIDING * HASHES)), self.place.dtype.type
-        width, left, rest = FIRST_WINDOW * self.norm, np.arange(len(query))[:PROBED], np.arange(len(query))[PROBED:]
-        did = []        # windows that did for the first queries: the others begin with a small one of these
-        while len(left) or len(rest):
-            if not len(left):
-                left, rest, width = rest, rest[:0], float(np.quantile(did, 0.25))
-            # The windows of all queries that still look for vectors, array by array.
-            lo = np.stack([np.searchsorted(line, at[left, h] - width) for h, line in enumerate(self.sorted)])
-            hi = np.stack([np.searchsorted(line, at[left, h] + width) for h, line in enumerate(self.sorted)])
-            more = []
-            for k, q in enumerate(left):
-                inside = (self.place - lo[:, k:k + 1].astype(kind)) < (hi - lo)[:, k:k + 1].astype(kind)
-                found = np.flatnonzero(np.add.reduce(inside, axis=0, dtype=np.uint8) >= least)
-                if len(found) >= enough or (hi - lo)[:, k].min() >= n:
-                    did.append(width)
-                    out[q] = found if (hi - lo)[:, k].min() < n else np.arange(n)
-                else:
-                    more.append(q)
-            left, width = np.array(more, dtype=np.int64), width * GROWTH
-        return out
+        at = np.column_stack([query * (self.norm / size)[:, None], np.zeros(len(query))]) @ self.lines
+        # One vector may be the query's own.
+        n, need = len(self.vectors), min(len(self.vectors), k + 1)
+        did: list[float] = []       # windows that the last queries needed: the next begins with the middle one
+        for q in range(len(query)):
+            width = float(np.median(did[-32:])) if did else FIRST_WINDOW * self.norm
+            while True:
+                found = self.colliding(at[q], width)
+                if len(found) < need:
+                    width *= GROWTH
+                    continue
+                score = (self.vectors[found] * query[q]).sum(axis=1)
+                worst = np.partition(score, len(score) - need)[len(score) - need]
+                # Distance of the vectors of common length, a hair more for rounding.
+                wanted = REACH * np.sqrt(max(0.0, 2 * self.norm * (self.norm - worst / size[q]))) * (1 + 1e-9)
+                if wanted <= width or len(found) == n:
+                    break
+                width = wanted
+            did.append(wanted)
+            yield found, score
 
     def search(self, query_ids: np.ndarray, query: np.ndarray, k: int):
         """(query, vector, score) of the k best of each query here, ties to the smaller id."""
         rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for q, found in enumerate(self.candidates(query)):
-            score = (self.vectors[found] * query[q]).sum(axis=1)
+        for q, (found, score) in enumerate(self.candidates(query, k)):
             # Each vector may stand for several ids; the best k + 1 vectors hold the best k ids.
             if len(found) > k + 1:
                 edge = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
