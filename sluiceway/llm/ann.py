@@ -34,6 +34,8 @@ SURE = 2.0
 REACH = NormalDist().inv_cdf(0.5 + (COLLIDING + SURE * (COLLIDING * (1 - COLLIDING) / HASHES) ** 0.5) / 2)
 #: Vectors of a block, queries answered together.
 BLOCK, QUERY_BLOCK = 16_384, 2_048
+#: Queries whose windows are opened in one step.
+TOGETHER = 32
 #: The first half window, in lengths of a vector, and its growth where too few vectors collide.
 FIRST_WINDOW, GROWTH = 0.7, 1.25
 
@@ -66,18 +68,19 @@ class Block:
         order = np.argsort(values, axis=0, kind="stable")
         self.sorted = np.take_along_axis(values, order, axis=0).T.copy()
         #: Each vector's place in each sorted array; a window of an array is a range of places.
-        self.place = np.argsort(order, axis=0).T.astype(np.uint16 if len(vectors) <= 1 << 16 else np.uint32)
+        self.place = np.argsort(order, axis=0).T.astype(np.uint16 if len(vectors) <= 1 << 16 else np.uint32, order="C")
+        self._from, self._inside = np.empty_like(self.place), np.empty(self.place.shape, dtype=bool)
         self.norm = norm
 
-    def colliding(self, at: np.ndarray, width: float) -> np.ndarray:
-        """The vectors in the windows of at least the threshold of arrays; `at` are a query's projections."""
-        n, kind = len(self.vectors), self.place.dtype.type
-        lo = np.array([line.searchsorted(x - width) for line, x in zip(self.sorted, at, strict=True)])
-        hi = np.array([line.searchsorted(x + width, side="right") for line, x in zip(self.sorted, at, strict=True)])
-        if (hi - lo).min() >= n:
-            return np.arange(n)
-        inside = (self.place - lo[:, None].astype(kind)) < (hi - lo)[:, None].astype(kind)
-        return np.flatnonzero(np.add.reduce(inside, axis=0, dtype=np.uint8) >= int(np.ceil(COLLIDING * HASHES)))
+    def colliding(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The vectors within these places of at least the threshold of arrays."""
+        if (hi - lo).min() >= len(self.vectors):
+            return np.arange(len(self.vectors))
+        kind = self.place.dtype.type
+        np.subtract(self.place, lo[:, None].astype(kind), out=self._from)
+        np.less(self._from, (hi - lo)[:, None].astype(kind), out=self._inside)
+        counts = np.add.reduce(self._inside.view(np.uint8), axis=0, dtype=np.uint8)
+        return np.flatnonzero(counts >= int(np.ceil(COLLIDING * HASHES)))
 
     def candidates(self, query: np.ndarray, k: int):
         """For each query the vectors verified and their inner products; see the module on when windows do."""
@@ -86,23 +89,33 @@ class Block:
         at = np.column_stack([query * (self.norm / size)[:, None], np.zeros(len(query))]) @ self.lines
         # One vector may be the query's own.
         n, need = len(self.vectors), min(len(self.vectors), k + 1)
-        did: list[float] = []       # windows that the last queries needed: the next begins with the middle one
-        for q in range(len(query)):
-            width = float(np.median(did[-32:])) if did else FIRST_WINDOW * self.norm
-            while True:
-                found = self.colliding(at[q], width)
-                if len(found) < need:
-                    width *= GROWTH
-                    continue
-                score = (self.vectors[found] * query[q]).sum(axis=1)
-                worst = np.partition(score, len(score) - need)[len(score) - need]
-                # Distance of the vectors of common length, a hair more for rounding.
-                wanted = REACH * np.sqrt(max(0.0, 2 * self.norm * (self.norm - worst / size[q]))) * (1 + 1e-9)
-                if wanted <= width or len(found) == n:
-                    break
-                width = wanted
-            did.append(wanted)
-            yield found, score
+        start = FIRST_WINDOW * self.norm        # later what did for three quarters of the queries before
+        for first in range(0, len(query), TOGETHER):
+            left = np.arange(first, min(first + TOGETHER, len(query)))
+            width, did, out = np.full(len(query), start), [], {}
+            while len(left):
+                lo = np.stack([line.searchsorted(at[left, h] - width[left]) for h, line in enumerate(self.sorted)])
+                hi = np.stack([line.searchsorted(at[left, h] + width[left], side="right") for h, line in enumerate(self.sorted)])
+                more = []
+                for i, q in enumerate(left):
+                    found = self.colliding(lo[:, i], hi[:, i])
+                    if len(found) < need:
+                        width[q] *= GROWTH
+                        more.append(q)
+                        continue
+                    score = self.vectors.take(found, axis=0) @ query[q]
+                    worst = np.partition(score, len(score) - need)[len(score) - need]
+                    # Distance of the vectors of common length, a hair more for rounding.
+                    wanted = REACH * np.sqrt(max(0.0, 2 * self.norm * (self.norm - worst / size[q]))) * (1 + 1e-9)
+                    if wanted > width[q] and len(found) < n:
+                        width[q] = wanted
+                        more.append(q)
+                        continue
+                    did.append(wanted)
+                    out[q] = found, score
+                left = np.array(more, dtype=np.int64)
+            start = max(float(np.quantile(did, 0.75)), 1e-12 * self.norm)
+            yield from (out[q] for q in sorted(out))
 
     def search(self, query_ids: np.ndarray, query: np.ndarray, k: int):
         """(query, vector, score) of the k best of each query here, ties to the smaller id."""
@@ -111,8 +124,9 @@ class Block:
             # Each vector may stand for several ids; the best k + 1 vectors hold the best k ids.
             if len(found) > k + 1:
                 edge = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-                keep = score >= edge
-                found, score = found[keep], score[keep]
+                found = found[score >= edge - 1e-9 * self.norm ** 2]
+            # Summed row by row, so that the same vectors give the same bits in every block.
+            score = (self.vectors[found] * query[q]).sum(axis=1)
             ids = np.concatenate([self.ids[i] for i in found])
             score = np.repeat(score, [len(self.ids[i]) for i in found])
             other = ids != query_ids[q]
