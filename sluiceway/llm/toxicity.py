@@ -167,14 +167,28 @@ def _count_entries(batches, model: np.ndarray):
 def learn_lexicon(labelled: DataFrame, model: np.ndarray) -> tuple[dict[str, float], float]:
     """The lexicon of `labelled(doc_id, text, toxic)`, and the score of texts without any of it.
 
-    At most TRAIN_ROWS rows are used, so all counts here are bounded. An entry is kept when so many
+    At most TRAIN_ROWS rows are used, so all counts here are bounded: those of the smallest hash of their id, then the smallest id
+    and hash of their text, so that reruns learn the same. An entry is kept when so many
     toxic documents and so few others are improbable for any entry that means nothing.
     """
-    rows = labelled.select("text", "toxic", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(TRAIN_ROWS)
+    spark = labelled.sparkSession
+    rows = labelled.select("doc_id", "text", "toxic", F.xxhash64("text").alias("t")).mapInArrow(
+        _fingerprints, T.StructType([*labelled.select("doc_id", "text", "toxic").schema.fields,
+                                     *(T.StructField(n, T.LongType()) for n in ("t", "one", "two"))]))
+    rows = stored(spark, rows)
+    # What is chosen is decided on narrow rows; the texts stay in the tasks that read them.
+    chosen = rows.select("doc_id", "toxic", "t", "one", "two", F.xxhash64("doc_id").alias("h")) \
+        .orderBy("h", "doc_id", "t", "toxic").limit(TRAIN_ROWS)
     # Copies of one document would make its own words look telling: of texts with one min-hash one stays.
-    rows = rows.mapInArrow(_fingerprints, "text STRING, toxic INT, h BIGINT, one BIGINT, two BIGINT")
-    rows = rows.dropDuplicates(["one", "toxic"]).dropDuplicates(["two", "toxic"]).select("text", "toxic")
-    rows = stored(labelled.sparkSession, rows)
+    row = F.struct("h", "doc_id", "t", "one", "two")
+    for least in ("one", "two"):
+        chosen = chosen.groupBy(least, "toxic").agg(F.min(row).alias("row")).select("toxic", "row.*")
+    kept = rows.select("doc_id", "t", "toxic", "text").join(
+        F.broadcast(chosen.select("doc_id", "t", "toxic")), ["doc_id", "t", "toxic"])
+    # Spark joins small partitions but for a number that is asked for: decoding takes all cores.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = kept.repartition(tasks, "doc_id", "t").dropDuplicates(["doc_id", "t", "toxic"]).select("text", "toxic")
+    rows = stored(spark, rows)
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -183,7 +197,7 @@ def learn_lexicon(labelled: DataFrame, model: np.ndarray) -> tuple[dict[str, flo
     count = lambda part, n: part.select("text").mapInArrow(
         partial(_count_entries, model=model), "entry STRING, n BIGINT").groupBy("entry").agg(F.sum("n").alias(n))
     counted = count(rows.filter("toxic = 1"), "a").join(count(rows.filter("toxic = 0"), "b"), "entry", "left")
-    counted = stored(labelled.sparkSession, counted.select("entry", "a", F.coalesce("b", F.lit(0)).alias("b")))
+    counted = stored(spark, counted.select("entry", "a", F.coalesce("b", F.lit(0)).alias("b")))
     a, b = F.col("a"), F.col("b")
     # Entries in too few documents to pass even if all were toxic are no tests.
     held = {r["n"]: r["count"] for r in counted.groupBy((a + b).alias("n")).count().collect()}
