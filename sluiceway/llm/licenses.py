@@ -84,11 +84,66 @@ NAMES = [
 ]
 # How a name is used: rank, word of its own if any, pattern around the identifier or the name, score.
 USES = [
-    (0, "spdx", r"spdx-licen[cs]e-identifier:\s*(?:{id})(?![\w.-])", 1.0),
+    (0, "spdx", r"spdx-licen[cs]e-identifier:[\s(]*(?:{id})(?![\w.-])", 1.0),
+    # Further identifiers of an expression, nearest first, so that none lies inside an interval that comes before it.
+    *((0, "spdx", r"spdx-licen[cs]e-identifier:[\s(]*(?:[\w.+-]+[\s()]+(?:and|or|with)[\s(]+)" + times + r"(?:{id})(?![\w.-])", 1.0)
+      for times in ("{{1}}", "{{2}}", "{{3,8}}")),
     (1, "licen", r"(?:dual[- ])?licen[cs]ed\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{name})\b", 0.95),
+    (1, "licen", r"\blicen[cs]ed\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{id})(?!\w|\.\d)", 0.95),
     (2, "under", r"(?:released|distributed|published|available|provided|redistribut\w+)(?:\s+\w+){{0,3}}?\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?(?:{name})\b", 0.9),
     (3, "", r"\b(?:{name})\b", 0.7),
 ]
+_S = r"(?:\s*v\.?\s*|,?\s+version\s+|[\s-]+)"
+_G = r"(?:\s*v(?:\.\s*|\s+)|,?\s+version\s+|-)"     # what `gpl-abbreviated` doesn't take
+_E = r"(?:-only|-or-later|\+)?(?!\w|\.\d)"
+# Short names in prose: label, words, pattern, score.
+SHORT = [
+    ("agpl-3.0", "agpl", rf"\b(?:gnu\s+)?agpl{_S}3(?:\.0)?{_E}", 0.7),
+    ("lgpl-3.0", "lgpl", rf"\b(?:gnu\s+)?lgpl{_S}3(?:\.0)?{_E}", 0.7),
+    ("lgpl-2.1", "lgpl", rf"\b(?:gnu\s+)?lgpl{_S}2\.1{_E}", 0.7),
+    ("lgpl-2.0", "lgpl", rf"\b(?:gnu\s+)?lgpl{_S}2(?:\.0)?{_E}", 0.7),
+    ("gpl-3.0", "gpl", rf"\b(?:gnu\s+)?gpl{_G}3(?:\.0)?{_E}", 0.7),
+    ("gpl-2.0", "gpl", rf"\b(?:gnu\s+)?gpl{_G}2(?:\.0)?{_E}", 0.7),
+    ("agpl", "agpl", r"\b(?:gnu\s+)?agpl\b", 0.6),
+    ("lgpl", "lgpl", r"\b(?:gnu\s+)?lgpl\b", 0.6),
+    ("gpl", "gnu gpl", r"\bgnu\s+gpl\b", 0.6),
+    ("apache-2.0", "apache-2", rf"\bapache-2(?:\.0)?{_E}", 0.7),
+    ("mpl-2.0", "mpl", rf"\bmpl{_S}2(?:\.0)?{_E}", 0.7),
+    ("epl-2.0", "epl", rf"\bepl-2(?:\.0)?{_E}", 0.7),
+]
+# Sentences of the notices themselves, fixed values: label, words, sentence, score.
+SENTENCES = [
+    ("bsl-1.0", "permission hereby granted", "permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation", 0.95),
+    ("ofl-1.1", "permission hereby granted", "permission is hereby granted, free of charge, to any person obtaining a copy of the font software", 0.95),
+    ("mit", "permission hereby granted", "permission is hereby granted, free of charge", 0.9),
+    ("bsd", "redistribution binary", "redistribution and use in source and binary forms", 0.9),
+    ("bsd-3-clause", "endorse promote", "may be used to endorse or promote products derived from this software without specific prior written permission", 0.8),
+    ("bsd-4-clause", "advertising materials", "all advertising materials mentioning features or use of this software", 0.9),
+    ("isc", "permission purpose", "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee", 0.95),
+    ("isc", "permission purpose", "permission to use, copy, modify, and distribute this software for any purpose with or without fee", 0.95),
+    ("0bsd", "permission purpose", "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. the software is provided", 0.95),
+    ("hpnd", "permission documentation", "permission to use, copy, modify, distribute, and sell this software and its documentation", 0.95),
+    ("hpnd", "permission documentation", "permission to use, copy, modify, and distribute this software and its documentation", 0.95),
+    ("permissive", "permission modify", "permission to use, copy, modify", 0.7),
+    ("apache-2.0", "licen apache.org", "http://www.apache.org/licenses/license-2.0", 0.9),
+    ("apache-2.0", "licen apache.org", "https://www.apache.org/licenses/license-2.0", 0.9),
+    ("gpl", "free software general public", "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation", 0.95),
+    ("lgpl", "free software general public", "you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation", 0.95),
+    ("agpl", "free software general public", "you can redistribute it and/or modify it under the terms of the gnu affero general public license as published by the free software foundation", 0.95),
+    ("mpl-2.0", "licen mozilla", "this source code form is subject to the terms of the mozilla public license, v. 2.0", 0.95),
+    ("epl-2.0", "licen eclipse", "are made available under the terms of the eclipse public license", 0.9),
+    ("cddl-1.0", "licen common development", "the contents of this file are subject to the terms of the common development and distribution license", 0.95),
+    ("ofl-1.1", "licen font software", "this font software is licensed under the sil open font license", 0.95),
+    ("zlib", "warranty as-is", "this software is provided 'as-is', without any express or implied warranty", 0.9),
+    ("unlicense", "public domain", "this is free and unencumbered software released into the public domain", 0.95),
+    ("cc0-1.0", "waived copyright", "has waived all copyright and related or neighboring rights", 0.9),
+    ("cc-by", "licen creativecommons.org", "creativecommons.org/licenses/by/", 0.9),
+    ("cc-by-sa", "licen creativecommons.org", "creativecommons.org/licenses/by-sa/", 0.9),
+    ("cc-by-nc", "licen creativecommons.org", "creativecommons.org/licenses/by-nc/", 0.9),
+    ("cc-by-nd", "licen creativecommons.org", "creativecommons.org/licenses/by-nd/", 0.9),
+    ("cc-by-nc-sa", "licen creativecommons.org", "creativecommons.org/licenses/by-nc-sa/", 0.9),
+    ("cc-by-nc-nd", "licen creativecommons.org", "creativecommons.org/licenses/by-nc-nd/", 0.9),
+]
 OTHERS = [
     ("all-rights-reserved", "rights reserved", r"\ball\s+rights\s+reserved\b", 0.6),
     ("public-domain", "public domain", r"\b(?:released\s+(?:in)?to|placed\s+in|dedicated\s+to)\s+the\s+public\s+domain\b", 0.8),
@@ -98,15 +153,25 @@ OTHERS = [
 ]
 
 
+def _sentence(words: str) -> str:
+    """The pattern of a sentence that lines may break, and comment signs begin, between any two words."""
+    return r"(?:\s+(?:[*#/;-]+\s+)?)".join(re.escape(w.rstrip(",")) + (",?" if w.endswith(",") else "") for w in words.split())
+
+
 def rules() -> list[tuple[str, tuple[str, ...], str, int, float]]:
     """(label, keywords, pattern, priority, score) in order; a lower priority comes first."""
     out = []
     for rank, own, around, score in USES:
         for label, identifier, keyword, name in NAMES:
+            if own == "licen" and "{id}" in around:
+                out.append((label, (own,), around.format(id=identifier), len(out), score))
+                continue
             needs = "licen" if "licen[cs]e" in re.sub(r"\(\?:[^()]*\)\?", "", name) else ""
             keys = (own,) if own == "spdx" else tuple(dict.fromkeys(k for k in (*keyword.split(), own, needs) if k))
             out.append((label, keys, around.format(id=identifier, name=name), len(out), score))
-    for label, keyword, pattern, score in OTHERS:
+    for label, keyword, sentence, score in SENTENCES:
+        out.append((label, tuple(keyword.split()), _sentence(sentence), len(out), score))
+    for label, keyword, pattern, score in (*SHORT, *OTHERS):
         out.append((label, tuple(keyword.split()), pattern, len(out), score))
     return out
 
