@@ -58,11 +58,14 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as raw transcripts, parsed again: the turns found in them, their roles and canonical form."""
+    """Conversations as raw transcripts, parsed again: the turns found in them, their roles and canonical form.
+
+    The model is learnt from one half of the conversations; `held_out` marks the turns of the other.
+    """
     raw = transcripts.raw_transcripts(_table(spark, sf_dir, "conversations"))
-    model = transcripts.learn(raw)
+    model = transcripts.learn(raw.filter(~transcripts.held_out(F.col("conv_id"))))
     turns = transcripts.render_turns(transcripts.parse_transcripts(raw.drop("role"), model))
-    return turns.select(F.col("conv").cast("long").alias("conv_id"), "turn", "role",
+    return turns.select(F.col("conv").cast("long").alias("conv_id"), transcripts.held_out(F.col("conv")).alias("held_out"), "turn", "role",
                         F.length("text").cast("long").alias("n_chars"), F.md5("rendered").alias("rendered_md5"))
 
 

@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.components import stored
@@ -102,19 +102,23 @@ class Model:
 def learn(turns: DataFrame) -> Model:
     """Counts over all lines of `turns(conv_id, turn, role, text)`, whose texts may begin with markers.
 
-    Aggregates only reach the driver: a few rows per state and feature value.
+    Aggregates only reach the driver: a few rows per state and feature value, and two per task, for what goes on over the
+    border of tasks. The model depends on the rows alone, not on how they are partitioned.
     """
     lines = number_lines(turns.filter(F.col("role").isin(*ROLES)), "conv_id", "turn", "text", "role")
-    counted = lines.mapInArrow(_count, "kind STRING, k INT, a INT, b INT, n BIGINT") \
-        .groupBy("kind", "k", "a", "b").agg(F.sum("n").alias("n")).collect()
+    counted = stored(turns.sparkSession, lines.mapInArrow(_count, _COUNTS))
+    counts: dict[tuple, int] = {}
+    for r in counted.filter("part < 0").groupBy("kind", "k", "a", "b").agg(F.sum("n").alias("n")).collect():
+        counts[r["kind"], r["k"], r["a"], r["b"]] = r["n"]
+    _across(counts, counted.filter("part >= 0").collect())
     start, move, emit = {}, {}, {}
-    for r in counted:
-        if r["kind"] == "start":
-            start[r["b"]] = r["n"]
-        elif r["kind"] == "move":
-            move[r["a"], r["b"]] = r["n"]
+    for (kind, k, a, b), n in counts.items():
+        if kind == "start":
+            start[b] = n
+        elif kind == "move":
+            move[a, b] = n
         else:
-            emit.setdefault(r["k"], {})[r["a"], r["b"]] = r["n"]
+            emit.setdefault(k, {})[a, b] = n
     return Model.from_counts(start, move, emit)
 
 
@@ -135,30 +139,78 @@ def number_lines(turns: DataFrame, conv: str, turn: str, text: str, role: str |
         .select("conv", "turn", "line", "role", "text")
 
 
+_COUNTS = "kind STRING, k INT, a INT, b INT, n BIGINT, part INT, conv STRING"
+
+
 def _count(batches):
+    """What a task's lines count (part -1), and its borders.
+
+    The task's first conversation gives a row `first` with its first line's state (a; -1 if all are blank) and whether it has a blank
+    line in front (b); its last conversation a row `last` with its last line's state (a; -1) and whether a blank line ends it (b). The first
+    line counts neither as start nor by its blank feature: the tasks before decide.
+    """
     from collections import Counter
 
+    from pyspark import TaskContext
+
+    context = TaskContext.get()
+    part = context.partitionId() if context else 0
     counts: Counter = Counter()
-    last: tuple | None = None       # conversation, state
+    first: tuple | None = None      # conversation, state, blank in front
+    conv, state, blank, begun = None, -1, False, False
     for batch in batches:
-        blank = False
-        for conv, line, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv", "line", "role", "text")), strict=True):
+        for c, line, role, text in zip(*(batch.column(n).to_pylist() for n in ("conv", "line", "role", "text")), strict=True):
+            if not begun or c != conv:
+                if begun and first is None:
+                    first = (conv, -1, blank)
+                conv, state, blank, begun = c, -1, False, True
             if not text.strip():
                 blank = True
                 continue
-            state = 2 * ROLES.index(role) + (0 if line == 0 else 1)
-            if last is None or last[0] != conv:
-                counts["start", 0, 0, state - state % 2] += 1
+            now = 2 * ROLES.index(role) + (0 if line == 0 else 1)
+            opens = first is None
+            if opens:
+                first = (c, now, blank)
+            elif state < 0:
+                counts["start", 0, 0, now - now % 2] += 1
             else:
-                counts["move", 0, last[1], state] += 1
+                counts["move", 0, state, now] += 1
             for k, value in enumerate(features(text, blank)):
-                counts["emit", k, state, value] += 1
-            last, blank = (conv, state), False
-    if counts:
-        keys = list(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys]), *[pa.array([k[i] for k in keys], pa.int32()) for i in (1, 2, 3)],
-             pa.array([counts[k] for k in keys], pa.int64())], ["kind", "k", "a", "b", "n"])
+                if k != 1 or not opens:
+                    counts["emit", k, now, value] += 1
+            state, blank = now, False
+    if begun:
+        first = first or (conv, -1, blank)
+        rows = [(*key, n, -1, None) for key, n in counts.items()]
+        rows += [("first", 0, first[1], int(first[2]), 0, part, first[0]), ("last", 0, state, int(blank), 0, part, conv)]
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                                         ["kind", "k", "a", "b", "n", "part", "conv"])
+
+
+def _across(counts: dict[tuple, int], borders: list) -> None:
+    """Add what the first lines of tasks count, given the tasks before."""
+    def add(*key: str | int) -> None:
+        counts[key] = counts.get(key, 0) + 1
+
+    parts: dict[int, dict] = {}
+    for r in borders:
+        parts.setdefault(r["part"], {})[r["kind"]] = r
+    conv, state, blank, begun = None, -1, False, False      # where the tasks before end
+    for part in sorted(parts):
+        first, last = parts[part]["first"], parts[part]["last"]
+        if not begun or first["conv"] != conv:
+            state, blank = -1, False
+        blank = blank or bool(first["b"])
+        if first["a"] >= 0:
+            if state < 0:
+                add("start", 0, 0, first["a"] - first["a"] % 2)
+            else:
+                add("move", 0, state, first["a"])
+            add("emit", 1, first["a"], int(blank))
+        if first["a"] >= 0 or last["conv"] != first["conv"]:
+            state, blank = last["a"], bool(last["b"])
+        conv, begun = last["conv"], True
 
 
 _LINES = "conv STRING, turn BIGINT, line BIGINT, text STRING, stretch BIGINT, place INT, marks ARRAY<INT>"
@@ -313,6 +365,11 @@ def render_turns(parsed: DataFrame) -> DataFrame:
     return turns.withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>")))
 
 
+def held_out(conv: Column) -> Column:
+    """Whether a conversation is kept out of learning: crc32 of its id as text is odd. One without id isn't."""
+    return F.coalesce(F.crc32(conv.cast("string").cast("binary")) % 2 == 1, F.lit(False))
+
+
 def raw_transcripts(turns: DataFrame) -> DataFrame:
     """Conversations as they are found: roles only as speaker markers, in one of several styles.
 
