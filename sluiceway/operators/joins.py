@@ -12,11 +12,13 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str, spread_by
     """Equi-join on ``key`` with each key of ``left`` spread over ``fan`` tasks.
 
     ``right`` holds each key once and only narrow columns; it is repeated ``fan`` times.
-    ``spread_by`` names columns of ``left`` that differ between rows of one key.
+    ``spread_by`` names columns of ``left`` that differ between rows of one key. The copies are never
+    broadcast: Spark's estimate counts an `explode` as no more than its input, and so ``fan`` times what
+    may be broadcast would go through the driver.
     """
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(fan)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))))
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 #: A key is heavy if it holds more than this part of all rows, so there are fewer heavy keys than that.

@@ -63,6 +63,12 @@ def test_hot_keys_are_salted_before_the_shuffle(spark):
     assert re.search(r"SortMergeJoin \[conn_id#\d+L, _salt#\d+\]", text)
 
 
+def test_salted_copies_are_not_broadcast(spark):
+    """Spark takes the copies for no larger than what they are made of."""
+    text = plan(admission_queries.admitted_any_verdict(spark, SF))
+    assert re.search(r"SortMergeJoin \[conn_id#\d+L, _salt#\d+\]", text) and "BroadcastExchange" not in text
+
+
 @pytest.mark.parametrize("name", ["match_clients", "check_pings", "decode_pings", "admit", "dedupe_redelivery"])
 def test_shuffled_joins_give_the_same_rows(spark, name):
     """What small tables broadcast is shuffled on large ones."""
