@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -284,6 +285,24 @@ def ping(conn, addr="10.0.0.1", key="global", user="alice", password="pw", upper
     return (conn, addr, b"nonce", b"auth", "host", "salt", digest.upper() if upper else digest, user, sha(b"auth", user, password))
 
 
+def test_a_name_with_many_passwords(spark):
+    """Most pings use few of them, some a rare one, some none; a connection's pings are judged one by one."""
+    table = clients(spark, (0, "10.0.0.1", None, None, ["alice"]))
+    users = spark.createDataFrame(
+        [("alice", f"pw-{i}") for i in range(3000)] + [("alice", None), (None, "pw-1"), ("bob", "pw")], schemas.USERS)
+    want, rows = [], []
+    for conn in range(500):
+        password = f"pw-{conn % 3}" if conn < 300 else f"pw-{conn * 5}" if conn < 450 else "nope"
+        rows.append(ping(conn, password=password))
+        want.append((conn, conn < 450))
+    rows += [ping(7, password="nope"), ping(7, password="pw-2999"), ping(500, user="bob", password="pw"), (*ping(501)[:7], None, None)]
+    want += [(7, False), (7, True), (500, False), (501, False)]
+    cfg = AdmissionConfig("me", "global", user_auth=True)
+    results = check_pings(spark.createDataFrame(rows, schemas.PINGS), table, users, cfg)
+    assert sorted((r.conn_id, r.ok) for r in results.collect()) == sorted(want)
+    assert not re.search(r"LeftOuter[^\n]*sha2", results._jdf.queryExecution().executedPlan().toString())
+
+
 def test_verdicts(spark):
     table = clients(spark, (0, "10.0.0.1", None, None, ["alice"]), (1, None, "10.1.0.0/16", "own", []))
     users = spark.createDataFrame([("alice", "pw"), ("alice", "other"), ("bob", "pw")], schemas.USERS)
