@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from sluiceway.functions.wire import Corrupt, advance, guess_boundary
 
@@ -64,6 +65,9 @@ FINAL_DDL = (
 ROW_BYTES = (1 << 31) - 64
 #: The most bytes of frames in one Arrow batch, whose offsets are of 32 bits.
 BATCH_BYTES = 1 << 26
+#: The most bytes of an incoming batch that are Python objects at a time, and what a row counts besides its bytes.
+SLICE_BYTES = 1 << 20
+SLICE_ROW = 64
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
@@ -119,9 +123,7 @@ def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             seen[0][5] if seen else None, bool(seen) and seen[-1][1] >= expected,
         )
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in slices(batches, "payload"):
         conn = batch.column("conn_id").to_numpy(zero_copy_only=False)
         block = batch.column("block").to_numpy(zero_copy_only=False)
         cuts = np.flatnonzero((np.diff(conn) != 0) | (np.diff(block) != 0)) + 1
@@ -199,6 +201,14 @@ def batch_ranges(bounds: np.ndarray, most: int = BATCH_BYTES) -> Iterator[tuple[
         at = to
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows with about ``most`` bytes of a binary column, however many rows Spark sends at once."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in batch_ranges(np.cumsum([0, *(sizes.astype(np.int64) + SLICE_ROW)]), most):
+            yield batch.slice(lo, hi - lo)
+
+
 def _frame_batches(block: Block, scan: Scan, base: int) -> Iterator[pa.RecordBatch]:
     """The complete values of a block, cut out of its bytes without copying each one.
 

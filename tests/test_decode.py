@@ -5,6 +5,7 @@ import gzip
 import json
 import math
 import struct
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -183,3 +184,22 @@ def test_json_details():
     assert text(b"\xa2\xff\x41") == '"�A"'
     assert text(b"\xca\x3f\x80\x00\x00") == "1.0"
     assert text(pack(2 ** 64 - 1)) == "18446744073709551615"
+
+
+def test_a_large_batch_is_decoded_in_slices():
+    """What lies in memory as Python objects goes by bytes, not by the rows Spark puts in a batch."""
+    frame = pack(["tag", [[i, {"k": "x" * 20}] for i in range(100)]])
+    n = 2000
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([v] * n, f.type) for v, f in zip((1, "a", 0, 0, len(frame), frame, None, None), FRAME_COLUMNS)],
+        schema=FRAME_COLUMNS)
+    parts, held = [], 0
+    tracemalloc.start()
+    for part in decode_batches(iter([batch])):
+        parts.append(part.num_rows)
+        held = max(held, part.get_total_buffer_size())
+        assert part.column("entries")[0].as_py()[99]["time_sec"] == 99
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(parts) == n and max(parts) < n / 3
+    assert peak < 48 << 20 and held < 16 << 20
