@@ -137,11 +137,21 @@ def _fits_one(passwords: str) -> Column:
 
 
 def _in_use(tried: DataFrame, known: DataFrame) -> DataFrame:
-    """(username, passwords): those that the pings of a sample fit, for names with more than FEW of them."""
+    """(username, passwords): those that the pings of a sample fit, for names with more than FEW of them.
+
+    A name's passwords go in parts, so that the digests of few names are made by many tasks.
+    """
     sample = tried.groupBy("username", F.pmod(F.xxhash64("conn_id"), F.lit(FEW)).alias("_part")).agg(
-        F.min_by(F.struct("user_salt", "password_digest"), "conn_id").alias("p")).select("username", "p.*")
-    return sample.join(known, "username").where(_password_digest(F.col("password")) == F.col("password_digest")).groupBy(
-        "username").agg(F.collect_set("password").alias("passwords"))
+        F.min_by(F.struct("user_salt", "password_digest"), "conn_id").alias("p")).groupBy("username").agg(
+        F.collect_list("p").alias("tries"))
+    tasks = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["username", "_part"]
+    each = known.withColumn("_part", F.pmod(F.xxhash64("password"), F.lit(PARTS)).cast("int")).repartition(tasks, *keys)
+    copies = sample.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).repartition(tasks, *keys)
+    fits = F.exists("tries", lambda p: sha512_hex(
+        p["user_salt"], F.col("username"), F.col("password")) == p["password_digest"])
+    return each.join(copies.hint("merge"), keys).where(fits).groupBy("username").agg(
+        F.collect_set("password").alias("passwords"))
 
 
 def _fitting_rest(left: DataFrame, known: DataFrame, pairs: int) -> DataFrame:

@@ -19,18 +19,27 @@ from sluiceway.streaming.rates import latest_rates, throughput_to_table
 FILES = 3       # micro-batches the recorded segments are spread over
 
 
-def _recorded(spark: SparkSession, sf_dir: str, folder: str, hot: bool = False) -> str:
-    """Segments on storage, shuffled over a few files as concurrent writers leave them."""
-    segments = traffic.mixed_mode_segments(spark, sf_dir, hot)
+def _spread(rows: DataFrame, path: str, *by: str) -> int:
+    """Write rows as concurrent writers leave them, in no order; gives how many files are one of `FILES` micro-batches.
+
+    There is a file for each core in each micro-batch, so no task of a stream holds a fixed share of all rows.
+    """
+    files = rows.sparkSession.sparkContext.defaultParallelism
+    rows.repartition(FILES * files, *by).write.parquet(path)
+    return files
+
+
+def _recorded(spark: SparkSession, sf_dir: str, folder: str, hot: bool = False) -> DataFrame:
+    """Segments out of order over several micro-batches, as a stream."""
     path = f"{folder}/segments"
-    segments.repartition(FILES, "seq").write.parquet(path)
-    return path
+    files = _spread(traffic.mixed_mode_segments(spark, sf_dir, hot), path, "conn_id", "seq")
+    return read_segments(spark, path, stream=True, files_per_trigger=files)
 
 
 def stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments out of order over several micro-batches, to events."""
     folder = shared_folder(spark)
-    segments = read_segments(spark, _recorded(spark, sf_dir, folder), stream=True, files_per_trigger=1)
+    segments = _recorded(spark, sf_dir, folder)
     query = ingest_stream(segments, f"{folder}/decoded", f"{folder}/checkpoint", available_now=True)
     query.awaitTermination()
     return wire_queries.event_rows(explode_events(views(spark, f"{folder}/decoded").requests))
@@ -39,7 +48,7 @@ def stream_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_roundtrip_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of every micro-batch on one connection, each framed by many tasks; segments out of order."""
     folder = shared_folder(spark)
-    segments = read_segments(spark, _recorded(spark, sf_dir, folder, hot=True), stream=True, files_per_trigger=1)
+    segments = _recorded(spark, sf_dir, folder, hot=True)
     put = epoch_sink(f"{folder}/events")
     reassemble_epochs(
         segments, lambda frames, epoch: put(decode_requests(frames), epoch), f"{folder}/state", f"{folder}/checkpoint",
@@ -188,8 +197,8 @@ def _admitted(spark: SparkSession, sf_dir: str) -> Admission:
     """Noise, PING and requests of a connection in different micro-batches, requests before and after the PING."""
     folder = shared_folder(spark)
     frames, greeted = admission_queries.handshake_frames(spark, sf_dir)
-    frames.repartition(FILES, "frame_no").write.parquet(f"{folder}/frames")
-    stream = spark.readStream.schema(schemas.FRAMES).option("maxFilesPerTrigger", 1).parquet(f"{folder}/frames")
+    files = _spread(frames, f"{folder}/frames", "conn_id", "frame_no")
+    stream = spark.readStream.schema(schemas.FRAMES).option("maxFilesPerTrigger", files).parquet(f"{folder}/frames")
     query = admission_stream(
         stream, greeted, admission_queries.clients(spark, sf_dir), admission_queries.users(spark, sf_dir),
         admission_queries.CLOSED, f"{folder}/admitted", f"{folder}/checkpoint", available_now=True)

@@ -170,3 +170,41 @@ def test_unacked_from_the_wire(spark, tmp_path):
     put([(1, "a", 4, at(1000), request(4))], schemas.SEGMENTS, "in")
     put([(1, 8, "8", at(1000))], acked, "acks")     # a restarted query waits for news from both
     assert run() == [1, 3]
+
+
+def test_a_micro_batch_of_one_file_is_worked_by_many_tasks(spark, tmp_path, sides):
+    """One row group of the source is one task; what follows must not be."""
+    greeted, clients, users = sides
+    rows = [(6, "10.0.0.1", n, T0, 3, b"\x93\xa1t\xc0", None, None) for n in range(4000)]
+    frames = spark.createDataFrame(rows, schemas.FRAMES).coalesce(1)
+    frames.write.parquet(str(tmp_path / "in"))
+    query = admission_stream(stream_of(spark, str(tmp_path / "in"), schemas.FRAMES), greeted, clients, users, CFG,
+                             str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True)
+    query.awaitTermination()
+    found = admission_tables(spark, str(tmp_path / "out"), query.id).frames
+    assert found.count() == len(rows)
+    assert found.select(F.input_file_name()).distinct().count() > 1
+
+
+def test_passwords_in_use_are_found_by_many_tasks(spark):
+    """A name with few pings and many passwords isn't tried by one task."""
+    from sluiceway.operators.admission import _in_use
+    salt = b"s"
+    tried = spark.createDataFrame(
+        [(c, "u", salt, sha(salt, "u", f"p{c}")) for c in range(40)] + [(99, "u", salt, None), (98, "v", salt, sha(salt, "v", "none"))],
+        "conn_id LONG, username STRING, user_salt BINARY, password_digest STRING")
+    known = spark.createDataFrame([(u, f"p{k}") for u in "uv" for k in range(3000)], "username STRING, password STRING")
+    where = known.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    plan = _in_use(tried, known)
+    got = {r["username"]: set(r["passwords"]) for r in plan.collect()}
+    assert list(got) == ["u"] and len(got["u"]) > 10 and got["u"] <= {f"p{k}" for k in range(40)}
+    text = plan._jdf.queryExecution().toString()
+    assert f", {where}), REPARTITION_BY_NUM" in text
+
+
+def test_the_recorded_streams_have_a_file_for_each_core(spark, tmp_path):
+    from sluiceway.plans.streaming_queries import FILES, _spread
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(20_000).withColumnRenamed("id", "conn_id")
+    assert _spread(rows, str(tmp_path / "in"), "conn_id") == cores
+    assert len(spark.read.parquet(str(tmp_path / "in")).inputFiles()) == FILES * cores
