@@ -79,3 +79,28 @@ def test_lexicon_is_the_same_on_reruns(spark, dealt, monkeypatch):
         found.append(dealt(n, lambda: toxicity.learn_lexicon(frame, np.full((toxicity.CLASSES,) * 3, -3.0, dtype=np.float32))))
     assert found[0] == found[1] == found[2]
     assert "grumpf" in found[0][0]
+
+
+def test_plain_words_get_the_tokenizer_s_ids():
+    """Words whose pieces the model gets at once have the ids of whole texts, whatever letters, signs and memory."""
+    import random
+    from array import array
+
+    from sluiceway.llm import token_files as tf
+    path = tf.default_tokenizer()
+    whole = tf._encoder(path)[0]
+    rng = random.Random(3)
+    letters = tf._LETTERS + "œİſ×÷ǅﬁ́'1.,!-"
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 45))) + rng.choice(["", "", ".", ",;", "'s"])
+                      for _ in range(rng.randint(0, 60))) for _ in range(300)] + [None, "", "<|endoftext|>A b.", "É'S ẞ. " * 3]
+    known, tf.KNOWN_WORDS = tf.KNOWN_WORDS, 500
+    try:
+        got = [x for k in range(0, len(texts), 7) for x in tf.encode(texts[k:k + 7] + texts[:2], path, 2)[:len(texts[k:k + 7])]]
+    finally:
+        tf.KNOWN_WORDS = known
+    want = [array("I", whole.encode(t or "", add_special_tokens=False).ids + [2]).tobytes() for t in texts]
+    assert got == want
+    tf._encoders.pop(path)
+    tf.encode(["plain words, only plain words."], path, 2)
+    learnt = tf._encoders[path][1]
+    assert learnt.pieces and b"plain" in learnt and b"words" in learnt      # not by the tokenizer's own search for pieces
