@@ -91,3 +91,8 @@ def join_bytes(pieces) -> Column:
 def join_hex(pieces) -> Column:
     """`join_bytes` for long arrays: linear, where repeated concatenation is quadratic."""
     return F.unhex(F.array_join(F.transform(_col(pieces), F.hex), ""))
+
+
+def joined(column: str, *order: str) -> Column:
+    """All binaries of a group in one, in the order of other columns."""
+    return F.expr(f"listagg({column}, X'') WITHIN GROUP (ORDER BY {', '.join(order)})")

@@ -41,11 +41,11 @@ def events_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"event_id div {GROUP}").alias("grp"))
 
 
-def record_bytes() -> Column:
-    """{"event_id":…,"k":…,"user_id":…,"value":…}, keys deliberately out of order."""
+def record_bytes(value: Column | None = None) -> Column:
+    """{"event_id":…,"k":…,"user_id":…,"value":…}, keys deliberately out of order; ``value`` is packed already, if given."""
     return F.concat(
         P.map_header(F.lit(4)),
-        P.pack_str(F.lit("value")), P.pack_double("value"),
+        P.pack_str(F.lit("value")), P.pack_double("value") if value is None else value,
         P.pack_str(F.lit("event_id")), P.pack_int("event_id"),
         P.pack_str(F.lit("user_id")), P.pack_int("user_id"),
         P.pack_str(F.lit("k")), P.pack_int("k"))
@@ -86,9 +86,14 @@ def mixed_mode_segments(spark: SparkSession, sf_dir: str, hot: bool = False) ->
         local = F.when(third, F.col("grp")).otherwise(local)
     mode = F.expr("grp % 3")
     entry = F.concat(hex_array(2), F.col("time"), F.col("rec"))
-    events = events_with_parts(spark, sf_dir).select(
-        conn.alias("conn_id"), local.alias("grp_in_conn"), "grp", mode.alias("mode"),
-        "event_type", "event_id", "us", time_bytes().alias("time"), record_bytes().alias("rec"))
+    # Dealt once, as narrow rows: both groupings below are within these parts. Behind a Python function, Spark
+    # wouldn't know that, so doubles are packed before.
+    dealt = events_with_parts(spark, sf_dir).select(
+        conn.alias("conn_id"), local.alias("grp_in_conn"), "grp", "event_type", "event_id", "user_id", "k", "us",
+        P.pack_double("value").alias("packed")).repartition("conn_id", "grp_in_conn")
+    events = dealt.select(
+        "conn_id", "grp_in_conn", "grp", mode.alias("mode"),
+        "event_type", "event_id", "us", time_bytes().alias("time"), record_bytes(F.col("packed")).alias("rec"))
     per_event = F.when(
         F.col("mode") == 0,
         F.concat(hex_array(3), P.pack_str("event_type"), F.col("time"), F.col("rec"))
@@ -98,10 +103,7 @@ def mixed_mode_segments(spark: SparkSession, sf_dir: str, hot: bool = False) ->
         F.when(F.col("mode") == 0, F.col("event_id")).otherwise(0).alias("sub"),
         "event_id", "us", per_event.alias("bytes"),
     ).groupBy("conn_id", "grp_in_conn", "grp", "mode", "event_type", "sub").agg(
-        F.min("us").alias("us"), F.count("*").alias("n"),
-        P.join_hex(F.transform(
-            F.array_sort(F.collect_list(F.struct("event_id", "bytes"))),
-            lambda e: e["bytes"])).alias("body"))
+        F.min("us").alias("us"), F.count("*").alias("n"), P.joined("bytes", "event_id").alias("body"))
     option = F.concat(
         P.map_header(F.lit(1)), P.pack_str(F.lit("chunk")), P.pack_str(chunk_text()))
     frame = F.when(F.col("mode") == 0, F.col("body")).otherwise(F.concat(
@@ -110,10 +112,7 @@ def mixed_mode_segments(spark: SparkSession, sf_dir: str, hot: bool = False) ->
         .otherwise(P.pack_bin("body")),
         option))
     groups = requests.withColumn("frame", frame).groupBy("conn_id", "grp_in_conn").agg(
-        F.min("us").alias("recv_us"),
-        P.join_hex(F.transform(
-            F.array_sort(F.collect_list(F.struct("event_type", "sub", "frame"))),
-            lambda e: e["frame"])).alias("payload"))
+        F.min("us").alias("recv_us"), P.joined("frame", "event_type", "sub").alias("payload"))
     return cut(groups)
 
 

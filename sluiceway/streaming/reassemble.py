@@ -116,8 +116,9 @@ def _advance(conn_id, values, parts, limit):
             return us[int(np.searchsorted(ends, offset, side="right"))]
 
         scan = scan_values(data, 0, limit, (reached, need) if held else None)
-        for lo, hi in zip(scan.bounds, scan.bounds[1:]):
-            rows.append((conn_id, addr, frame_no, arrival(hi - 1), hi - lo, data[lo:hi], None, None))
+        last = np.searchsorted(ends, np.asarray(scan.bounds[1:], dtype=np.int64) - 1, side="right").tolist()
+        for lo, hi, k in zip(scan.bounds, scan.bounds[1:], last):
+            rows.append((conn_id, addr, frame_no, us[k] if hi > len(held) else held_us, hi - lo, data[lo:hi], None, None))
             frame_no += 1
         start = scan.bounds[-1]
         if scan.fault:

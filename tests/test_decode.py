@@ -4,7 +4,9 @@ import base64
 import gzip
 import json
 import math
+import random
 import struct
+import sys
 import tracemalloc
 
 import pyarrow as pa
@@ -203,3 +205,49 @@ def test_a_large_batch_is_decoded_in_slices():
     tracemalloc.stop()
     assert sum(parts) == n and max(parts) < n / 3
     assert peak < 48 << 20 and held < 16 << 20
+
+
+ODD = [0, 5, 127, 128, 2 ** 40, 0.0, -0.0, 1e300, 0.1, math.nan, math.inf, -math.inf, None, True, "x", [1], {"a": 1}]
+
+
+def test_maps_of_a_known_layout_give_the_same_text():
+    """Each value in each place of a map, among enough like it that layouts are learnt and others put in their place."""
+    rng = random.Random(5)
+    frames, want = [], []
+    for n in range(6000):
+        keys = ["value", "%", "ä", "k"][:rng.randint(1, 4)] if n % 3 else ["value", "k"]
+        record = {k: 0.5 + n if k == "value" else n for k in keys}
+        if n % 5 == 0:
+            record[rng.choice(keys)] = rng.choice(ODD)
+        raw = pack(record)
+        if n % 11 == 0:     # a key twice
+            raw = b"\x83" + pack("k") + pack(n) + pack("value") + pack(0.25) + pack("k") + b"\xcc\xfe"
+        if n % 13 == 0:
+            raw = b"\x82" + pack("f") + b"\xca" + struct.pack(">f", 0.1) + pack("i") + b"\xd1" + struct.pack(">h", -n)
+        entry = b"\x92" + event_time(n + 1, 7) + raw
+        frames += [b"\x93" + pack("t") + entry[1:], b"\x92" + pack("t") + b"\x92" + entry + entry,
+                   b"\x92" + pack("t") + b"\xc5" + struct.pack(">H", 2 * len(entry)) + 2 * entry]
+        want += 3 * [(n + 1, 7, json_text(raw, 0)[0])]
+    got = decode(*frames)
+    assert {r["kind"] for r in got} == {"request"}
+    assert [entries(r)[-1] for r in got] == want
+    assert all(len(set(entries(r))) == 1 for r in got)
+    short = decode(*(f[:-1] for f in frames[-3:]), b"\x92" + pack("t") + b"\xc4\x14" + frames[-1][-20:])
+    assert {r["kind"] for r in short} == {"reject"}
+
+
+def test_records_of_one_layout_are_read_in_one_step():
+    frames = [pack(["t", [[i, {"id": 1000 + i, "v": i / 7}] for i in range(100)]]) for _ in range(20)]
+    frames += [b"\x93" + pack("t") + event_time(9, 9) + pack({"id": 1000 + i, "v": i / 7}) for i in range(2000)]
+    calls = 0
+
+    def count(frame, event, _):
+        nonlocal calls
+        calls += event == "call" and frame.f_code.co_name == "json_text"
+
+    sys.setprofile(count)
+    try:
+        decode(*frames)
+    finally:
+        sys.setprofile(None)
+    assert calls < 500

@@ -29,6 +29,12 @@ def test_one_shuffle_from_segments_to_events(segments):
     assert "EvalPython" not in text
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_traffic_is_dealt_once(spark, hot):
+    text = plan(traffic.mixed_mode_segments(spark, SF, hot))
+    assert len(re.findall(r"Exchange ", text)) == 1
+
+
 def test_long_connections_are_found_by_pushdown(segments):
     text = plan(segments.where(F.col("seq") >= 8192).select("conn_id"))
     assert "PushedFilters: [IsNotNull(seq), GreaterThanOrEqual(seq,8192)]" in text
