@@ -1,8 +1,8 @@
 """Main text of web pages: markup marks what surely is and isn't text, a host's suffix array the rest.
 
 Pages are cut into blocks. Menus, headers, footers, sidebars, notices, adverts, forms, scripts and
-reader comments are known by their elements and names; where a page marks its article, and the article isn't a teaser beside a longer text, that is its
-text. On a page without such a mark, long runs of words that other pages of its host have too
+reader comments are known by their elements and names; where a page marks its article, and the article isn't a teaser beside a longer text of its own, that is its
+text. Elsewhere, and to tell what stands beside an article as the page's own, long runs of words that other pages of its host have too
 are boilerplate. To find them, the words of many pages are put one behind the other, and the suffixes
 sorted by their first RUN words; suffixes that agree in these lie together, and a run
 whose suffixes come from two pages is repeated. Each task sorts the suffixes of its own pages; equal
@@ -313,7 +313,7 @@ def _runs(batches):
 
 
 def _places(batches):
-    """(page, host, run, place) of the pages whose article isn't marked."""
+    """(page, host, run, place) of the pages whose text isn't sure."""
     for batch in batches:
         words, starts = _stream(batch.column("parts").to_pylist())
         keys = tx.chain(words, RUN)
@@ -326,12 +326,12 @@ def _places(batches):
 
 
 def _unique(batches):
-    """The text of pages without their repeated runs."""
+    """The text of pages without their repeated runs: the article alone, if what is left beside it isn't longer."""
     for batch in batches:
         texts = []
         for parts, places in zip(batch.column("parts").to_pylist(), batch.column("places").to_pylist(), strict=True):
             covered = {p + k for p in places or () for k in range(RUN)}
-            at, own, everything = 0, [], []
+            at, own, everything, beside = 0, [], [], 0
             for block in parts or []:
                 split = re.findall(r"[^\x20\x09-\x0D]+", block["text"])
                 left = [w for k, w in enumerate(split) if at + k not in covered]
@@ -342,6 +342,11 @@ def _unique(batches):
                         own.append(block["text"])
                     elif left:
                         own.append(" ".join(left))
+                    if not block["main"] and left:
+                        beside += len(own[-1])
+            marked = [block["text"] for block in parts or [] if block["main"]]
+            if marked and sum(map(len, marked)) >= beside:
+                own = marked
             texts.append("\n".join(own or everything))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                          ["page_id", "url", "text"])
@@ -351,8 +356,9 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of `pages(page_id, url, html)`.
 
     Blocks have character references decoded, white space made one space and trimmed, and are joined by
-    line ends. Where a page has an article (or main element) with no less text than stands beside it, its blocks are the text,
-    whatever other pages hold. Elsewhere the body's blocks are, without what their names leave out and without runs of RUN words
+    line ends. Where a page has an article (or main element) with no less text than stands beside it, not counting there the runs
+    that another page of the host has, its blocks are the text, whole,
+    whatever other pages hold; where it has no less even with these, they are not looked for. Elsewhere the body's blocks are, without what their names leave out and without runs of RUN words
     or more that another page of the host has, unless nothing would be left; short articles stay whole. A page is read in time
     that grows with its length, whatever it holds. Null html is an
     empty page; a page without url shares the host of the others without. Repeated rows, which

@@ -51,6 +51,16 @@ def test_teaser_hides_no_body(spark):
     assert got[2] == "an article longer than the line beside it"
 
 
+def test_text_of_the_host_beside_an_article_makes_it_no_teaser(spark):
+    links = "<div>all the boats of this house are looked after by two men who live near the old harbour wall</div>"
+    got = _text(spark, [
+        (i, f"http://a.com/{i}", f"{links}<article><p>{text}</p></article><div>by {name}</div>")
+        for i, text, name in ((1, "a boat was lost", "A. N."), (2, "a boat was found", "B. O."))
+    ] + [(3, "http://b.com/3", f"{links}<article><p>a boat</p></article>")])
+    assert got[1] == "a boat was lost" and got[2] == "a boat was found"
+    assert got[3].endswith("old harbour wall\na boat")     # no other page of its host has the text
+
+
 def test_repeated_runs_against_plain_search(spark):
     rng = random.Random(7)
     word = lambda: "w%d" % rng.randrange(10_000)
